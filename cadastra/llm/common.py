@@ -69,3 +69,10 @@ def text_bytes(text: str) -> Column:
 def spread(spark: SparkSession, rows_hint: int | None = None) -> int:
     """Partition count for an explicit repartition: the session's own setting, which grows with the cluster's input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi join on keys of equal names where null meets null; the result has left's keys only."""
+    named = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
+    return left.join(named, on, how).drop(*[f"__right_{k}" for k in keys])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from cadastra.llm.mixing import op3_mix_sources
+from cadastra.llm.packing import op4_best_fit_packing
 from cadastra.llm.simhash import op10_simhash_near_dedup
 
 QUERIES = {
+    "op3_mix_sources": op3_mix_sources,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
