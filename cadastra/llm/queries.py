@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from cadastra.llm.mixing import op3_mix_sources
 from cadastra.llm.packing import op4_best_fit_packing
+from cadastra.llm.pii import op6_pii_semi_markov
+from cadastra.llm.quality_rules import op8_quality_rules
 from cadastra.llm.simhash import op10_simhash_near_dedup
+from cadastra.llm.substring_dedup import op7_substring_dedup
 
 QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_pii_semi_markov": op6_pii_semi_markov,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_quality_rules": op8_quality_rules,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
