@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from cadastra.llm.code_search import op5_hamming_top_k
+from cadastra.llm.line_dedup import op2_line_dedup
 from cadastra.llm.mixing import op3_mix_sources
 from cadastra.llm.packing import op4_best_fit_packing
 from cadastra.llm.pii import op6_pii_semi_markov
+from cadastra.llm.quality_classifier import op9_quality_classifier
 from cadastra.llm.quality_rules import op8_quality_rules
+from cadastra.llm.secret_scan import op1_secret_scan
 from cadastra.llm.simhash import op10_simhash_near_dedup
 from cadastra.llm.substring_dedup import op7_substring_dedup
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_line_dedup": op2_line_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_hamming_top_k": op5_hamming_top_k,
     "op6_pii_semi_markov": op6_pii_semi_markov,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

@@ -26,6 +26,15 @@ def test_words_give_the_texts_ids(spark):
         assert np.frombuffer(raw, "<u4").tolist() == ids_of(t)[:-1]
 
 
+def test_any_word_gives_the_tokenizers_ids():
+    r = random.Random(8)
+    t, tok = WordTokens(word_bpe()), Tokenizer.from_file(word_bpe())
+    parts = ["a", "The", "É", "ß", "İ", "ı", "ŉ", "ª", "²", "½", "12", "'s", "'", "''", "-", "__", "<|", "|>", "<|endoftext|>", "endoftext", "\xa0", "\xad", "\t", "\x1c", "\x85", "́", "ſ", "Ǆ", "Ω", "🙂", "中", "LL", "'LL", "'RE", "×", "\u200b"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(1, 9))) for _ in range(4000)]
+    for x, raw in zip(texts, t(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == tok.encode(x, add_special_tokens=False).ids, repr(x)
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_best_fit(seed):
     r = np.random.default_rng(seed)
