@@ -196,7 +196,9 @@ def scored(docs: DataFrame, model: CoTrained, columns: dict[str, str] = COLUMNS,
     def score(t: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
         tf = np.array([text_features(x) for x in t], float).reshape(len(t), 12)
         mf = np.array([meta_features(*x) for x in zip(lang, source, n_chars, strict=True)], float)
-        return pd.DataFrame(dict(zip(("score", "text_score", "meta_score"), model.scores(tf, mf), strict=True)))
+        # The last bits of a matrix product depend on the batch's shape.
+        found = [np.round(x, 9) for x in model.scores(tf, mf)]
+        return pd.DataFrame(dict(zip(("score", "text_score", "meta_score"), found, strict=True)))
 
     return docs.withColumn(name, score(*_featured(docs, columns)))
 
