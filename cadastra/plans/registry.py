@@ -1,4 +1,10 @@
 """All queries of the engine by name, with the SQL that must give the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from cadastra.plans import claims, relational
+
+MODULES = (claims, relational)
+
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+ORACLE_SQL = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
