@@ -14,6 +14,7 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -26,30 +27,76 @@ from cadastra.llm.common import discard, staged, table
 
 CAPACITY = 2048
 GROUP = 20_000
-MEMO = 300_000
+MEMO = 400_000
 ROUNDS = 3
 #: Code points of texts whose words are looked up at once.
 CHUNK = 1 << 20
 
 
 class WordTokens:
-    """Token ids (little-endian unsigned 32-bit bytes) of texts, by way of a bounded memory of words."""
+    """Token ids (little-endian unsigned 32-bit bytes) of texts, by way of a bounded memory of words.
+
+    New words of printable Latin letters, digits and signs are cut as the vocabulary's own splitting pattern cuts them,
+    and the new parts are tokenized many at a time: a part's last token is one that ends a word. All other new words,
+    and those that could hold a special token, go to the tokenizer one by one.
+    """
+
+    #: Fixed value: the splitting pattern stated in the vocabulary's file.
+    PART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), {}, {}
+        self.find = regex.compile(self.PART).findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    @staticmethod
+    def plain(word: str) -> bool:
+        """No part of the word changes by normalisation other than by lower-casing character for character."""
+        return word.isprintable() and (word.isascii() or (max(word) < "\u0180" and "\u0130" not in word)) and "<|" not in word
+
+    def _learn(self, new: list[str]) -> None:
+        find, parts = self.find, self.parts
+        if len(parts) > MEMO:
+            parts.clear()
+        cut = {w: find(w.lower()) for w in new if self.plain(w)}
+        todo = [p for p in set(chain.from_iterable(cut.values())) if p not in parts]
+        for at in range(0, len(todo), 2000):
+            some = todo[at : at + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) != len(some):
+                raise ValueError("the vocabulary does not end each part by a token of its own")
+            raw, a = ids.tobytes(), 0
+            for p, b in zip(some, stops.tolist(), strict=True):
+                parts[p] = raw[a:b]
+                a = b
+        for w, ps in cut.items():
+            self.words[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
+        rest = [w for w in new if w not in cut]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else [], strict=True):
+            self.words[w] = array("I", e.ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        new = [w for w in set(chain.from_iterable(words)) if w not in memo]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else [], strict=True):
-            memo[w] = array("I", e.ids).tobytes()
-        return [b"".join(map(memo.__getitem__, w)) for w in words]
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.words) > MEMO:
+            self.words.clear()
+        new = [w for w in set(chain.from_iterable(split)) if w not in self.words]
+        if new:
+            self._learn(new)
+        get = self.words.__getitem__
+        return [b"".join(map(get, w)) for w in split]
+
+
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One memory of words for all tasks that a Python worker runs."""
+    return WordTokens(path)
 
 
 def pieces(
@@ -62,7 +109,7 @@ def pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, width, end = WordTokens(tokenizer_path), 4 * capacity, array("I", [end_id]).tobytes()
+        tokens, width, end = word_tokens(tokenizer_path), 4 * capacity, array("I", [end_id]).tobytes()
 
         def cut(ids: list, texts: list[str]) -> pa.RecordBatch:
             rows: list[tuple] = []
