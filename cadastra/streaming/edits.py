@@ -44,4 +44,5 @@ def run_upserts(edits: DataFrame, state_path: str, checkpoint: str, key: str) ->
 
 def event_windows(events: DataFrame, size: str = "1 day", late: str = "2 hours") -> DataFrame:
     """Extension: tumbling counts by type with a watermark; a batch DataFrame gives the same rows without state."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    stamped = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return stamped.withWatermark("ts", late).groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
