@@ -4,9 +4,8 @@ A line within ``edits`` edits of another agrees with it on one of ``edits + 1``
 bounded shift (Li et al., "Pass-Join", 2011). Every line files its segments under its length, and looks substrings up
 under each length from its own down to ``edits`` less, at the starts that the multi-match-aware bounds leave.
 
-1. Each line gives its keys (hashes only); keys that only one text gives are dropped, most of all keys. Their number
-   sets the size of a bitmap of the others (at most MAX_BITS bits, so its broadcast is bounded).
-2. Lines with a key in the bitmap are the only ones whose text moves; each distinct text does once.
+1. Each line gives its keys (hashes only); keys that only one text gives are dropped, most of all keys.
+2. Lines with one of the other keys are the only ones whose text moves; each distinct text does once.
 3. Their segments and substrings are joined. A key with more than ``HOT`` segment rows is split by the counts of two
    character classes, which differ by at most ``edits`` between lines that close.
 4. Pairs whose character class counts are near enough are verified by banded bit-parallel edit distance.
@@ -28,7 +27,8 @@ EDITS = 2
 #: Lines of fewer characters are never compared: exactly repeated ones stay below the first bound, close ones below the second.
 MIN_EXACT, MIN_CLOSE = 16, 24
 HOT = 16
-MAX_BITS = 1 << 28
+#: Rows of one long that are broadcast at most (about 50 MB in memory); a longer list is joined by a shuffle.
+MAX_BROADCAST = 1_000_000
 CLASSES = ("eé", "tz", "aà", "o", "nñ", "i", "rk", "sß", "hc", "dlm", "0123456789", " ")
 
 
@@ -121,40 +121,34 @@ def _identity() -> list[Column]:
     return [F.xxhash64("line").alias("h"), F.hash("line").alias("h2")]
 
 
-def _repeated_keys(lines: DataFrame, edits: int) -> DataFrame:
-    """Keys that more than one text gives."""
-    keys = lines.select(F.xxhash64("line").alias("g"), F.explode(F.array_distinct(F.concat(filed_keys(edits), sought_keys(edits)))).alias("key"))
-    return keys.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
+def _keys(lines: DataFrame, edits: int) -> DataFrame:
+    """(h, key) of every line's segments and substrings; the text is left behind before rows multiply."""
+    every = F.array_distinct(F.concat(filed_keys(edits), sought_keys(edits)))
+    narrow = lines.select(F.xxhash64("line").alias("h"), every.alias("keys"))
+    return narrow.select("h", F.explode("keys").alias("key"))
 
 
-def _bitmap(keys: DataFrame, count: int) -> tuple[DataFrame, int]:
-    """(slot, bits) of a bitmap of the keys, and its number of bits: 16 a key, up to MAX_BITS."""
-    bits = 1 << 20
-    while bits < min(MAX_BITS, 16 * count):
-        bits *= 2
-    place = F.pmod("key", F.lit(bits))
-    made = keys.select(F.floor(place / 32768).alias("slot"), (place % 32768).alias("bit"))
-    return made.groupBy("slot").agg(F.bitmap_construct_agg("bit").alias("bits")), bits
+def _semi(rows: DataFrame, few: DataFrame, on: str, count: int) -> DataFrame:
+    """Semi join that broadcasts the right side up to MAX_BROADCAST rows of one long each, and shuffles beyond."""
+    return rows.join(F.broadcast(few) if count <= MAX_BROADCAST else few, on, "left_semi")
 
 
 def _near_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """Distinct (h, line, len) of the lines that share a key with another text, and maybe a few others."""
-    repeated = staged(_repeated_keys(lines, edits), "line-keys")
-    bitmap, bits = _bitmap(repeated, repeated.count())
-    place = F.pmod("key", F.lit(bits))
-    keys = lines.select("line", "len", F.explode(F.array_distinct(F.concat(filed_keys(edits), sought_keys(edits)))).alias("key"))
-    met = keys.withColumn("slot", F.floor(place / 32768)).join(F.broadcast(bitmap), "slot")
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(place % 32768 / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    hit = met.where(F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    one = hit.select(F.xxhash64("line").alias("h"), "line", "len").groupBy("h").agg(F.first("line").alias("line"), F.first("len").alias("len"))
+    """Distinct (h, line, len, counts) of the lines that share a key with another text."""
+    seen = _keys(lines, edits).groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    repeated = staged(seen.where(F.col("lo") < F.col("hi")).select("key"), "line-keys")
+    wanted = _semi(_keys(lines, edits), repeated, "key", repeated.count()).select("h").distinct()
+    wanted = staged(wanted, "near-hashes")
+    texts = lines.select(F.xxhash64("line").alias("h"), "line", "len")
+    one = _semi(texts, wanted, "h", wanted.count()).groupBy("h").agg(F.first("line").alias("line"), F.first("len").alias("len"))
     counts = F.array(*[F.col("len") - F.length(F.translate("line", c, "")) for c in CLASSES])
     return staged(one.withColumn("counts", counts), "near-lines")
 
 
 def _pairs(near: DataFrame, edits: int) -> DataFrame:
     """Candidate pairs (h, g) of distinct lines that share a key and have character class counts within reach."""
-    filed = near.select("h", "counts", F.explode(filed_keys(edits)).alias("key"))
-    sought = near.select("h", "counts", F.explode(F.array_distinct(sought_keys(edits))).alias("key"))
+    filed = near.select("h", "counts", filed_keys(edits).alias("keys")).select("h", "counts", F.explode("keys").alias("key"))
+    sought = near.select("h", "counts", F.array_distinct(sought_keys(edits)).alias("keys")).select("h", "counts", F.explode("keys").alias("key"))
     hot = staged(filed.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot-line-keys")
     split = lambda c: F.floor(F.get("counts", F.lit(c)) / (edits + 1))
     around = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1)]))
