@@ -114,19 +114,22 @@ def thresholds(found: DataFrame, lang_col: str = "lang", source_col: str = "sour
         F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in names]
     )
     groups = staged(groups, "sketches")
+
+    def marks(df: DataFrame, keys: list[str], at: str) -> DataFrame:
+        """Only the three quantiles of each sketch leave its row: a sketch is a thousand times as wide."""
+        at_each = [F.array(*[F.kll_sketch_get_quantile_double(m, F.lit(r)) for r in (0.25, 0.5, 0.75)]) for m in names]
+        return df.select(*keys, F.col("n").alias(f"{at}_n"), *[q.alias(f"{at}_{m}") for m, q in zip(names, at_each, strict=True)])
+
     merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in names]]
-    by_lang = groups.groupBy(lang_col).agg(*merged).withColumnsRenamed({c: f"lang_{c}" for c in ("n", *names)})
-    overall = groups.groupBy(F.lit(1).alias("_one")).agg(*merged).withColumnsRenamed({c: f"all_{c}" for c in ("n", *names)})
-    met = join_null_safe(groups, by_lang, [lang_col]).withColumn("_one", F.lit(1)).join(overall, "_one")
+    by_lang = marks(groups.groupBy(lang_col).agg(*merged), [lang_col], "lang")
+    overall = marks(groups.agg(*merged), [], "all")
+    met = join_null_safe(marks(groups, [lang_col, source_col], "own"), by_lang, [lang_col]).join(F.broadcast(overall))
     out = []
     for m in names:
-        sketch = (
-            F.when(F.col("n") >= MIN_GROUP, F.col(m)).when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{m}")).otherwise(F.col(f"all_{m}"))
-        )
-        q = lambda r, s=sketch: F.kll_sketch_get_quantile_double(s, F.lit(r))
-        width = F.greatest(F.lit(REACH) * (q(0.75) - q(0.25)), F.lit(SLACK[m]))
-        out.append((q(0.5) + width).alias(f"hi_{m}"))
-        out.append((q(0.5) - width if m in TWO_SIDED else F.lit(float("-inf"))).alias(f"lo_{m}"))
+        q = F.when(F.col("own_n") >= MIN_GROUP, F.col(f"own_{m}")).when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{m}")).otherwise(F.col(f"all_{m}"))
+        width = F.greatest(F.lit(REACH) * (q[2] - q[0]), F.lit(SLACK[m]))
+        out.append((q[1] + width).alias(f"hi_{m}"))
+        out.append((q[1] - width if m in TWO_SIDED else F.lit(float("-inf"))).alias(f"lo_{m}"))
     return met.select(lang_col, source_col, *out)
 
 
