@@ -31,29 +31,33 @@ BUCKET = 2048
 CHUNK = 1 << 15
 
 
-def fingerprint_of(text: bytes, shingle: int = 3) -> int:
-    """Fingerprint (unsigned) of a UTF-8 text: A-Z lower-cased, shingles of words with repeats, XXH64 with seed 42."""
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the shingles of words of a UTF-8 text with A-Z lower-cased, in order and with repeats."""
     words = text.lower().split()
     n = len(words)
-    if not n:
-        return 0
     joined = b" ".join(words)
     if n <= shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        lens = np.fromiter(map(len, words), np.int64, n)
-        ends = np.cumsum(lens + 1) - 1
-        starts = (ends - lens)[: n - shingle + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)] if n else [], dtype="<u8")
+    lens = np.fromiter(map(len, words), np.int64, n)
+    ends = np.cumsum(lens + 1) - 1
+    starts = (ends - lens)[: n - shingle + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], dtype="<u8")
+
+
+def _fingerprint(raw: np.ndarray) -> int:
     total = np.zeros(64, np.int64)
-    raw = np.array(hashes, dtype="<u8")
     for at in range(0, len(raw), CHUNK):
         bits = np.unpackbits(raw[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         total += bits.sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * total > len(raw), bitorder="little").view("<u8")[0])
 
 
+def fingerprint_of(text: bytes, shingle: int = 3) -> int:
+    """Fingerprint (unsigned) of a UTF-8 text: A-Z lower-cased, shingles of words with repeats, XXH64 with seed 42."""
+    return _fingerprint(shingle_hashes(text, shingle))
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from cadastra.llm.common import n_words, staged, table
 from cadastra.llm.line_dedup import dedup_lines
 from cadastra.llm.mixing import mixed_documents
+from cadastra.llm.near_copies import keep_one_copy
 from cadastra.llm.packing import pack_documents, word_bpe
 from cadastra.llm.quality_classifier import accepted
-from cadastra.llm.simhash import keep_one
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, that of the smallest id."""
-    return keep_one(docs)
+    """One document of each group of near copies (five-word shingles, similarity 0.8), that of the smallest id."""
+    return keep_one_copy(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
