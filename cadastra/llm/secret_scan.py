@@ -1,6 +1,7 @@
 """Secret scan with false-positive removal by a random forest, in DataFrame functions and the JVM's own forest only.
 
-Candidates are long unbroken runs of key-like characters with a digit, and private key headers. The forest judges each
+Candidates are private key headers, unbroken runs of 16 or more key-like characters with a digit, and values of any six or
+more characters after an assignment or a cue word; the name before an equals sign is not part of them. The forest judges each
 by its length, its character transitions, how much of it dictionary words cover, the path it was found at and the words
 beside it. It is trained from labelled findings: ``training_findings`` writes a bounded set of them from a seed, and a
 table of reviewed findings of the same columns can be given instead.
@@ -13,11 +14,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import staged, table
+from cadastra.llm.common import SPACE, staged, table
 
+CUES = ("token", "secret", "password", "passwd", "pwd", "key", "auth", "bearer", "credential", "credentials", "signature")
+_RUN = "A-Za-z0-9+/_-"
+#: What ends a value that stands without quotes; such a value does not end with a full stop or colon.
+_STOP = SPACE + r"\"'`<>,;&|(){}\[\]"
+_CUED = "|".join(f"(?<={c}[ :])|(?<={c}: )" for c in CUES)
 CANDIDATE = (
     r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
-    r"|(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,200}[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9+/_=-])"
+    rf"|(?<![{_RUN}])(?=[A-Za-z+/_-]*[0-9])[{_RUN}]{{16,}}={{0,2}}(?!=*[{_RUN}])"
+    rf"|(?:(?<=[=:][\"'])|(?<=[=:] [\"']))[^{SPACE}\"']{{6,}}(?=[\"'])"
+    rf"|(?:(?<==)|(?<== )|(?<=[ :])(?i:{_CUED}))(?!=)[^{_STOP}]{{5,}}[^{_STOP}.:]"
 )
 #: Characters kept on either side of a candidate for the words beside it.
 BESIDE = 60
@@ -105,11 +113,20 @@ def training_findings(spark: SparkSession, n: int = MAX_FINDINGS, seed: int = 17
     words = "the of and street order page was on by data la de der ein que".split()
     word = lambda k: F.concat(pick(k, words), pick(k + 50, words), pick(k + 90, words))
     hexes = lambda k: F.substring(h(k), 1, 20)
+    letters = lambda k, size: F.translate(b64(k, size), "+/0123456789=", "qzKxWvJhTbGpd")
+    common = (
+        "required optional provider management exchange rotation available generated expired validation somewhere together language "
+        "children question elephant mountain internal external undefined placeholder changed following between without because "
+        "sprache zwischen schule maison toujours quelque ciudad nombre tiempo welcome summary default production development"
+    ).split()
     secret = pick(1, [
         F.substring(h(2), 1, 40), F.substring(h(2), 1, 32), b64(3, 40), b64(3, 32), F.concat(F.lit("AKIA"), F.upper(F.substring(h(4), 1, 16))),
         F.concat(F.lit("ghp_"), F.translate(b64(5, 36), "+/", "aZ")), F.concat(F.lit("sk-"), F.translate(b64(6, 44), "+/", "bY")),
         F.substring(h(7), 1, 64), F.translate(b64(8, 24), "+/", "_-"), F.concat(F.lit("xoxb-"), digits(9, 12), F.lit("-"), F.translate(b64(10, 24), "+/", "cX")),
         F.lit("-----BEGIN RSA PRIVATE KEY-----"), F.lit("-----BEGIN PRIVATE KEY-----"),
+        F.translate(b64(60, 12), "+/", "!#"), F.translate(b64(61, 9), "+/=", "$@x"), letters(62, 20), letters(63, 12),
+        F.concat(pick(64, ["P@ss", "Adm!n", "S3cr#t", "Qw*rt", "L0gin%"]), pick(65, list("!#$%*?@^")), b64(66, 6), digits(67, 3), pick(68, list("!#$%*?@^"))),
+        F.concat(F.translate(b64(69, 8), "+/", "k7"), pick(70, list("!#$%*?@^")), F.translate(b64(71, 8), "+/", "m3")),
     ])
     plain = pick(11, [
         digits(12, 16), F.substring(h(13), 1, 40), F.substring(h(13), 1, 64), F.substring(h(13), 1, 32),
@@ -118,6 +135,9 @@ def training_findings(spark: SparkSession, n: int = MAX_FINDINGS, seed: int = 17
         F.concat_ws("/", F.lit("static"), word(21), word(22), digits(23, 3)), F.concat(word(24), word(25), digits(26, 1)),
         F.concat_ws("-", digits(27, 4), digits(28, 2), digits(29, 5), digits(30, 5)), F.concat(digits(31, 13), F.lit("="), digits(32, 3)),
         F.concat(F.repeat(F.lit("a"), 12), F.repeat(F.lit("1"), 12)),
+        pick(72, common), F.concat(pick(74, common), pick(73, ["", "_", "-", "."]), pick(75, common)), digits(76, 8),
+        F.concat(F.lit("https://www."), pick(77, common), F.lit(".org/"), pick(78, common)), F.concat(F.lit("${"), F.upper(pick(79, common)), F.lit("}")),
+        F.concat(pick(80, common), F.lit("."), pick(81, ["py", "json", "html", "txt"])), F.concat(F.lit("./"), pick(82, common), F.lit("/"), pick(83, common)),
     ])
     hash_like = F.col("candidate").rlike("^[0-9a-f]{32,64}$|^[0-9a-f]{8}-")
     lead = F.concat_ws(" ", pick(33, words), pick(34, words))
@@ -131,6 +151,8 @@ def training_findings(spark: SparkSession, n: int = MAX_FINDINGS, seed: int = 17
         F.when((F.col("label") == 1) & strong & (bits(41, 3) == 0), free).when(F.col("label") == 1, secret_cue)
         .when(hash_like & (bits(42, 3) > 0), plain_cue).otherwise(F.when(bits(43, 4) == 0, plain_cue).otherwise(free))
     )
+    dull = F.col("candidate").rlike(r"^[a-z]+([_.-]?[a-z]+)*$|^[0-9]{8}$|^https:|^[$]|^[.]/")
+    before = F.when((F.col("label") == 0) & dull & (bits(47, 3) > 0), secret_cue).otherwise(before)
     path = pick(44, ["", "", "src1", "src7", "app/settings.py", "config/prod.env", "tests/fixtures/data.json", "docs/example.md", "package-lock.json"])
     return made.select("candidate", before.alias("before"), F.concat(pick(45, ['"', "'", " ", ".", ","]), hexes(46)).alias("after"), path.alias("path"), "label")
 
