@@ -21,11 +21,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import join_null_safe, staged, table
+from cadastra.llm.common import WORD_RE, join_null_safe, staged, table
 
 EDITS = 2
-#: Lines of fewer characters are never compared: exactly repeated ones stay below the first bound, close ones below the second.
-MIN_EXACT, MIN_CLOSE = 16, 24
+#: Characters of the shortest lines whose repeats go, and of the shortest ones compared: those with edits + 1 segments.
+#: Blank lines stay.
+MIN_EXACT, MIN_CLOSE = 1, EDITS + 1
 HOT = 16
 #: Rows of one long that are broadcast at most (about 50 MB in memory); a longer list is joined by a shuffle.
 MAX_BROADCAST = 1_000_000
@@ -111,10 +112,10 @@ STATE = "struct<vp:int,vn:int,score:int>"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, tie, no, line) of every line; tie is a hash of the text that tells rows of one id apart."""
+    """(doc_id, tie, no, line) of every line with a word; tie is a hash of the text that tells rows of one id apart."""
     return docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.posexplode(F.split(text_col, "\n")).alias("no", "line")
-    )
+    ).where(F.col("line").rlike(WORD_RE))
 
 
 def _identity() -> list[Column]:
@@ -175,7 +176,7 @@ def close_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
     """(doc_id, tie, gone, n_exact, n_close) of the documents that lose lines; gone holds line numbers from 0."""
     lines = _lines(docs, id_col, text_col).withColumn("len", F.length("line"))
-    links = staged(close_lines(lines.where(F.col("len") >= MIN_CLOSE).select("line", "len"), edits), "line-links")
+    links = staged(close_lines(lines.where(F.col("len") >= max(MIN_CLOSE, edits + 1)).select("line", "len"), edits), "line-links")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "no")
     every = lines.where(F.col("len") >= MIN_EXACT).select(*_identity(), "doc_id", "tie", "no")
     firsts = every.groupBy("h", "h2").agg(F.min(order).alias("first"), F.max(order).alias("final"))
