@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: The six separators of words, as the body of a regular expression's class (Java, RE2 and Python read it alike).
 SPACE = r"\x20\x09-\x0D"
+SPACE_CHARS = " \t\n\v\f\r"
 #: A word, and a run of separators.
 WORD_RE, SPACE_RE = f"[^{SPACE}]+", f"[{SPACE}]+"
 

@@ -4,11 +4,14 @@ A line within ``edits`` edits of another agrees with it on one of ``edits + 1``
 bounded shift (Li et al., "Pass-Join", 2011). Every line files its segments under its length, and looks substrings up
 under each length from its own down to ``edits`` less, at the starts that the multi-match-aware bounds leave.
 
-1. Each line gives its keys (hashes only); keys that only one text gives are dropped, most of all keys.
-2. Lines with one of the other keys are the only ones whose text moves; each distinct text does once.
+1. One pass over the texts writes each line's place, its 128-bit hash and its keys (hashes of length, segment number and
+   substring, cut from four bytes a character); no text. Keys that only one text gives are dropped, most of all keys.
+2. Lines with one of the other keys are the only ones whose text moves; each distinct text does once and gets a number.
 3. Their segments and substrings are joined. A key with more than ``HOT`` segment rows is split by the counts of two
-   character classes, which differ by at most ``edits`` between lines that close.
-4. Pairs whose character class counts are near enough are verified by banded bit-parallel edit distance.
+   character classes, which differ by at most ``edits`` between lines that close, and so on with further classes while
+   rows meet more than ``HOT`` others.
+4. Pairs whose character class counts are near enough are verified by banded bit-parallel edit distance; what is kept is
+   that the later line of a pair has an earlier one.
 
 A line goes if an equal or close line comes before it in the order of (doc_id, line number). Decisions are made on the
 input, so of a chain of close lines the first stays.
@@ -21,16 +24,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import WORD_RE, join_null_safe, staged, table
+from cadastra.llm.common import SPACE_CHARS, discard, join_null_safe, staged, table
 
 EDITS = 2
-#: Characters of the shortest lines whose repeats go, and of the shortest ones compared: those with edits + 1 segments.
-#: Blank lines stay.
-MIN_EXACT, MIN_CLOSE = 1, EDITS + 1
 HOT = 16
 #: Rows of one long that are broadcast at most (about 50 MB in memory); a longer list is joined by a shuffle.
 MAX_BROADCAST = 1_000_000
 CLASSES = ("eé", "tz", "aà", "o", "nñ", "i", "rk", "sß", "hc", "dlm", "0123456789", " ")
+#: Classes whose counts split a hot key, level by level.
+LEVELS = ((0, 2), (1, 3), (4, 5), (6, 7), (8, 9), (10, 11))
 
 
 def _starts(edits: int) -> list[tuple[int, int, int]]:
@@ -43,25 +45,30 @@ def _starts(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """(start from 1, size) of segment i of a line of that length: sizes differ by one at most, larger ones last."""
-    size, more = F.floor(length / (edits + 1)), length % (edits + 1)
-    small = edits + 1 - more
-    start = size * i + F.greatest(F.lit(i) - small, F.lit(0)) + 1
-    return start.cast("int"), (size + (F.lit(i) >= small).cast("int")).cast("int")
+def _filed(edits: int) -> list[tuple[int, int, int]]:
+    """What a line files: its own segments, under its own length."""
+    return [(0, i, 0) for i in range(edits + 1)]
 
 
-def _key(line: str, length: Column, i: int, edits: int, shift: int = 0) -> Column:
-    start, size = _segment(length, i, edits)
-    return F.xxhash64(length, F.lit(i), F.col(line).substr(start + shift, size))
+def _keys(spec: list[tuple[int, int, int]], edits: int) -> Column:
+    """Keys of a row with ``len`` and ``wide`` (the line, four bytes a character), one for each entry of spec.
 
+    Sizes of segments differ by one at most, larger ones last. A function of one entry, called for each: written out for
+    all entries, the code would outgrow what the virtual machine compiles.
+    """
+    n = F.lit(edits + 1)
+    entries = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(x).alias("x")) for d, i, x in spec])
 
-def filed_keys(edits: int) -> Column:
-    return F.array(*[_key("line", F.col("len"), i, edits) for i in range(edits + 1)])
-
+    def key(e: Column) -> Column:
+        length = F.col("len") - e["d"]
+        more = length % n
+        size = ((length - more) / n).cast("int")
+        extra = F.greatest(e["i"] - (n - more), F.lit(0))
+        start = size * e["i"] + extra + e["x"]
+        wide = size + F.when(e["i"] >= n - more, F.lit(1)).otherwise(F.lit(0))
+        return F.xxhash64(length, e["i"], F.substring(F.col("wide"), start * 4 + 1, wide * 4))
 
-def sought_keys(edits: int) -> Column:
-    return F.array(*[_key("line", F.col("len") - d, i, edits, shift) for d, i, shift in _starts(edits)])
+    return F.transform(entries, key)
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
@@ -115,18 +122,16 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, tie, no, line) of every line with a word; tie is a hash of the text that tells rows of one id apart."""
     return docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.posexplode(F.split(text_col, "\n")).alias("no", "line")
-    ).where(F.col("line").rlike(WORD_RE))
+    ).where(F.btrim("line", F.lit(SPACE_CHARS)) != "")
 
 
 def _identity() -> list[Column]:
-    return [F.xxhash64("line").alias("h"), F.hash("line").alias("h2")]
+    """128 bits that stand for a line; the second hash starts from another seed, so that it does not follow the first."""
+    return [F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2")]
 
 
-def _keys(lines: DataFrame, edits: int) -> DataFrame:
-    """(h, key) of every line's segments and substrings; the text is left behind before rows multiply."""
-    every = F.array_distinct(F.concat(filed_keys(edits), sought_keys(edits)))
-    narrow = lines.select(F.xxhash64("line").alias("h"), every.alias("keys"))
-    return narrow.select("h", F.explode("keys").alias("key"))
+def _order() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "no")
 
 
 def _semi(rows: DataFrame, few: DataFrame, on: str, count: int) -> DataFrame:
@@ -134,77 +139,122 @@ def _semi(rows: DataFrame, few: DataFrame, on: str, count: int) -> DataFrame:
     return rows.join(F.broadcast(few) if count <= MAX_BROADCAST else few, on, "left_semi")
 
 
-def _near_lines(lines: DataFrame, edits: int) -> DataFrame:
-    """Distinct (h, line, len, counts) of the lines that share a key with another text."""
-    seen = _keys(lines, edits).groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+def _near_lines(lines: DataFrame, places: DataFrame, edits: int, shortest: int) -> DataFrame:
+    """(n, h, h2, first, line, len, counts), one row for each text of lines that shares a key with another text.
+
+    n is a number of its own, first its first place. A second line of one 64-bit hash would be taken for the same text when
+    shared keys are sought, not after that.
+    """
+    given = places.where(F.col("len") >= shortest).select("h", F.explode("keys").alias("key"))
+    seen = given.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
     repeated = staged(seen.where(F.col("lo") < F.col("hi")).select("key"), "line-keys")
-    wanted = _semi(_keys(lines, edits), repeated, "key", repeated.count()).select("h").distinct()
-    wanted = staged(wanted, "near-hashes")
-    texts = lines.select(F.xxhash64("line").alias("h"), "line", "len")
-    one = _semi(texts, wanted, "h", wanted.count()).groupBy("h").agg(F.first("line").alias("line"), F.first("len").alias("len"))
+    wanted = staged(_semi(given, repeated, "key", repeated.count()).select("h").distinct(), "near-hashes")
+    texts = lines.select(*_identity(), "doc_id", "tie", "no", "line")
+    one = _semi(texts, wanted, "h", wanted.count()).groupBy("h", "h2").agg(F.first("line").alias("line"), F.min(_order()).alias("first"))
+    one = one.withColumn("len", F.length("line")).where(F.col("len") >= shortest)
     counts = F.array(*[F.col("len") - F.length(F.translate("line", c, "")) for c in CLASSES])
-    return staged(one.withColumn("counts", counts), "near-lines")
+    out = staged(one.withColumn("counts", counts).withColumn("n", F.monotonically_increasing_id()), "near-lines")
+    discard(repeated)
+    discard(wanted)
+    return out
 
 
 def _pairs(near: DataFrame, edits: int) -> DataFrame:
-    """Candidate pairs (h, g) of distinct lines that share a key and have character class counts within reach."""
-    filed = near.select("h", "counts", filed_keys(edits).alias("keys")).select("h", "counts", F.explode("keys").alias("key"))
-    sought = near.select("h", "counts", F.array_distinct(sought_keys(edits)).alias("keys")).select("h", "counts", F.explode("keys").alias("key"))
-    hot = staged(filed.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot-line-keys")
-    split = lambda c: F.floor(F.get("counts", F.lit(c)) / (edits + 1))
-    around = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1)]))
-    filed_hot = filed.join(hot, "key", "left_semi").select("h", "counts", F.xxhash64("key", split(0), split(2)).alias("key"))
-    sought_hot = sought.join(hot, "key", "left_semi").select("h", "counts", "key", around.alias("n")).select(
-        "h", "counts", F.xxhash64("key", split(0) + F.col("n.x"), split(2) + F.col("n.y")).alias("key")
-    )
-    a = filed.join(hot, "key", "left_anti").select("h", "counts", "key").unionByName(filed_hot)
-    b = sought.join(hot, "key", "left_anti").select("h", "counts", "key").unionByName(sought_hot)
-    b = b.withColumnsRenamed({"h": "g", "counts": "counts2", "key": "key2"})
+    """Candidate pairs (a, b) of numbers of texts that share a key and have character class counts within reach."""
+    narrow = near.select("n", "counts", "len", F.encode("line", "UTF-32").alias("wide"))
+    filed = narrow.select("n", "counts", F.explode(_keys(_filed(edits), edits)).alias("key"))
+    sought = narrow.select("n", "counts", F.explode(F.array_distinct(_keys(_starts(edits), edits))).alias("key"))
     apart = F.aggregate(F.zip_with("counts", "counts2", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    met = a.join(b, (F.col("key") == F.col("key2")) & (F.col("h") != F.col("g")) & (apart <= 2 * edits))
-    return met.select(F.least("h", "g").alias("h"), F.greatest("h", "g").alias("g")).distinct()
-
-
-def close_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """lines(line, len) -> links (h, g) of all pairs of different texts within ``edits`` edits, h and g their xxhash64."""
-    near = _near_lines(lines, edits)
-    chars = near.select("h", F.filter(F.split("line", ""), lambda c: c != F.lit("")).alias("chars"))
-    met = _pairs(near, edits).join(chars, "h").join(chars.withColumnsRenamed({"h": "g", "chars": "chars2"}), "g")
-    return met.where(edit_distance(F.col("chars"), F.col("chars2"), edits) <= edits).select("h", "g")
-
-
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
-    """(doc_id, tie, gone, n_exact, n_close) of the documents that lose lines; gone holds line numbers from 0."""
-    lines = _lines(docs, id_col, text_col).withColumn("len", F.length("line"))
-    links = staged(close_lines(lines.where(F.col("len") >= max(MIN_CLOSE, edits + 1)).select("line", "len"), edits), "line-links")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie", "no")
-    every = lines.where(F.col("len") >= MIN_EXACT).select(*_identity(), "doc_id", "tie", "no")
-    firsts = every.groupBy("h", "h2").agg(F.min(order).alias("first"), F.max(order).alias("final"))
-    both = links.unionByName(links.select(F.col("g").alias("h"), F.col("h").alias("g")))
-    place = firsts.join(both.select("h").distinct(), "h", "left_semi").select("h", "first")
-    place = staged(place, "line-places")
-    later = (
-        both.join(place, "h").join(place.withColumnsRenamed({"h": "g", "first": "other"}), "g")
-        .where(F.col("other") < F.col("first")).select("h").distinct().withColumn("close", F.lit(True))
-    )
-    struck = firsts.join(later, "h", "left").where((F.col("first") < F.col("final")) | F.col("close"))
-    struck = struck.select("h", "h2", "first", F.coalesce("close", F.lit(False)).alias("close"))
-    at = every.withColumn("here", order).join(struck, ["h", "h2"])
+    split = lambda c: F.floor(F.get("counts", F.lit(c)) / (edits + 1))
+    found, held = [], []
+    for level in range(len(LEVELS) + 1):
+        filed, sought = staged(filed, "filed-keys"), staged(sought, "sought-keys")
+        held += [filed, sought]
+        count = filed.groupBy("key").count()
+        hot = staged(count.where(F.col("count") > HOT).select("key"), "hot-line-keys") if level < len(LEVELS) else None
+        cold = filed if hot is None else filed.join(hot, "key", "left_anti")
+        other = sought.withColumnsRenamed({"n": "m", "counts": "counts2"})
+        met = cold.join(other, "key").where((F.col("n") != F.col("m")) & (apart <= 2 * edits))
+        pairs = met.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct()
+        found.append(staged(pairs, "line-pairs"))
+        if hot is None or not hot.limit(1).count():
+            break
+        held.append(hot)
+        x, y = LEVELS[level]
+        around = F.array(*[F.struct(F.lit(i).alias("x"), F.lit(j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        filed = filed.join(hot, "key", "left_semi").select("n", "counts", F.xxhash64("key", split(x), split(y)).alias("key"))
+        sought = sought.join(hot, "key", "left_semi").select("n", "counts", "key", F.explode(around).alias("by")).select(
+            "n", "counts", F.xxhash64("key", split(x) + F.col("by.x"), split(y) + F.col("by.y")).alias("key")
+        ).join(filed.select("key").distinct(), "key", "left_semi")
+    out = staged(reduce(DataFrame.unionByName, found).distinct() if len(found) > 1 else found[0], "line-pairs")
+    for part in (*held, *(found if len(found) > 1 else [])):
+        discard(part)
+    return out
+
+
+def close_pairs(near: DataFrame, edits: int = EDITS) -> DataFrame:
+    """near(n, line, len, counts, ...) -> all pairs (a, b), a below b, of different texts within ``edits`` edits."""
+    chars = near.select("n", F.filter(F.split("line", ""), lambda c: c != F.lit("")).alias("chars"))
+    left, right = (chars.withColumnsRenamed({"n": x, "chars": f"chars_{x}"}) for x in "ab")
+    pairs = _pairs(near, edits)
+    met = pairs.join(left, "a").join(right, "b")
+    out = staged(met.where(edit_distance(F.col("chars_a"), F.col("chars_b"), edits) <= edits).select("a", "b"), "close-pairs")
+    discard(pairs)
+    return out
+
+
+def removed_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, shortest: int | None = None
+) -> DataFrame:
+    """(doc_id, tie, gone, n_exact, n_close) of the documents that lose lines; gone holds line numbers from 0.
+
+    Repeats of any length go. Close lines are sought among lines of ``shortest`` characters or more: edits + 1 unless
+    given, and not less, since any two lines of up to ``edits`` characters are within that many edits.
+    """
+    shortest = edits + 1 if shortest is None else shortest
+    if shortest < edits + 1:
+        raise ValueError("lines of up to edits characters are all close to each other")
+    lines = _lines(docs, id_col, text_col)
+    spec = sorted({*_filed(edits), *_starts(edits)})
+    wide = lines.select("doc_id", "tie", "no", *_identity(), F.length("line").alias("len"), F.encode("line", "UTF-32").alias("wide"))
+    places = staged(wide.withColumn("keys", _keys(spec, edits)).drop("wide"), "line-places")
+    near = _near_lines(lines, places, edits, shortest)
+    firsts_of = near.select(F.col("n"), "first")
+    close = close_pairs(near, edits)
+    links = close.join(firsts_of.withColumnsRenamed({"n": "a", "first": "first_a"}), "a")
+    links = links.join(firsts_of.withColumnsRenamed({"n": "b", "first": "first_b"}), "b")
+    later = links.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("n")).distinct()
+    later = near.select("n", "h", "h2").join(later, "n").select("h", "h2", F.lit(True).alias("close"))
+    every = places.select("h", "h2", "doc_id", "tie", "no")
+    firsts = every.groupBy("h", "h2").agg(F.min(_order()).alias("first"), F.max(_order()).alias("final"))
+    struck = firsts.join(later, ["h", "h2"], "left").where((F.col("first") < F.col("final")) | F.col("close"))
+    struck = staged(struck.select("h", "h2", "first", F.coalesce("close", F.lit(False)).alias("close")), "struck-lines")
+    hashes = struck.select("h").distinct()
+    at = _semi(every, hashes, "h", struck.count()).withColumn("here", _order()).join(struck, ["h", "h2"])
     leads = F.col("here") == F.col("first")
     gone = at.where(~leads | F.col("close")).groupBy("doc_id", "tie")
-    return gone.agg(
-        F.sort_array(F.collect_set("no")).alias("gone"), F.count_if(~leads).alias("n_exact"), F.count_if(leads).alias("n_close")
+    out = staged(
+        gone.agg(F.sort_array(F.collect_set("no")).alias("gone"), F.count_if(~leads).alias("n_exact"), F.count_if(leads).alias("n_close")),
+        "gone-lines",
     )
+    for part in (places, near, close, struck):
+        discard(part)
+    return out
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, shortest: int | None = None, name: str | None = "lines"
+) -> DataFrame:
     """docs with the repeated and close lines cut from the text; columns and rows as before.
 
-    Columns n_lines, n_exact, n_close and gone are added under the name ``lines`` (a struct). Rows that repeat id and
+    n_lines, n_exact, n_close and gone are added as a struct called ``name``; an error if docs has such a column. With no
+    name, nothing is added. Rows that repeat id and
     text are one document and lose the same lines. Null texts stay null, empty ones empty; null ids come last in the
     order of lines. A document may lose all its lines; its text is then empty. An empty table gives an empty result.
     """
-    gone = removed_lines(docs, id_col, text_col, edits)
+    if name in docs.columns:
+        raise ValueError(f"docs has a column {name}; give another name")
+    gone = removed_lines(docs, id_col, text_col, edits, shortest)
     gone = gone.withColumnsRenamed({c: f"__{c}" for c in gone.columns})
     own = docs.withColumns({"__doc_id": F.col(id_col).cast("long"), "__tie": F.xxhash64(text_col)})
     met = join_null_safe(own, gone, ["__doc_id", "__tie"], "left")
@@ -217,7 +267,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     named = met.withColumn("__lines", F.when(F.col(text_col).isNotNull(), lines))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(kept)
-    return named.withColumn(text_col, text).select(*docs.columns, F.col("__lines").alias("lines"))
+    return named.withColumn(text_col, text).select(*docs.columns, *([F.col("__lines").alias(name)] if name else []))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:

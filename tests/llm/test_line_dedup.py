@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.llm import line_dedup
-from cadastra.llm.line_dedup import MIN_CLOSE, MIN_EXACT, close_lines, dedup_lines, edit_distance
+from cadastra.llm.line_dedup import CLASSES, close_pairs, dedup_lines, edit_distance, removed_lines
+
+MIN_CLOSE = 3
 
 
 def distance(a, b):
@@ -57,7 +59,7 @@ def plain(rows, edits):
     for _, i, t in order:
         for no, line in enumerate(t.split("\n")):
             near = any(line == s or (len(line) >= MIN_CLOSE and len(s) >= MIN_CLOSE and abs(len(s) - len(line)) <= edits and len(s) < 500 and distance(s, line) <= edits) or (len(s) > 500 and len(line) > 500) for s in seen)
-            if len(line) >= MIN_EXACT:
+            if line.strip(" \t\n\v\f\r"):
                 if near:
                     gone.setdefault((i, t), set()).add(no)
                 seen.append(line)
@@ -78,16 +80,29 @@ def test_matches_brute_force(spark, seed, hot, most, monkeypatch):
     assert any(r.lines and r.lines.n_close for r in got) and any(r.lines and r.lines.n_exact for r in got)
 
 
-def test_all_links(spark):
+@pytest.mark.parametrize("hot", [16, 1])
+def test_all_links(spark, hot, monkeypatch):
     r = random.Random(7)
     base = ["".join(r.choice("abcde ") for _ in range(r.randrange(24, 40))) for _ in range(12)]
     lines = sorted({e for b in base for _ in range(25) if len(e := edited(r, b, r.randrange(4))) >= MIN_CLOSE})
-    df = spark.createDataFrame([(x,) for x in lines * 2], "line string").withColumn("len", F.length("line"))
-    names = {x.h: x.line for x in df.select("line", F.xxhash64("line").alias("h")).distinct().collect()}
-    got = {tuple(sorted((names[x.h], names[x.g]))) for x in close_lines(df).collect()}
+    df = spark.createDataFrame(list(enumerate(lines)), "n long, line string").withColumn("len", F.length("line"))
+    near = df.withColumn("counts", F.array(*[F.col("len") - F.length(F.translate("line", c, "")) for c in CLASSES]))
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    got = {(lines[x.a], lines[x.b]) for x in close_pairs(near).collect()}
     assert got == {(a, b) for i, a in enumerate(lines) for b in lines[i + 1 :] if distance(a, b) <= 2}
 
 
+def test_clash_and_bounds(spark):
+    docs = spark.createDataFrame([(1, "one line here\none line herr", 5)], "doc_id long, text string, lines int")
+    with pytest.raises(ValueError):
+        dedup_lines(docs)
+    with pytest.raises(ValueError):
+        removed_lines(docs, shortest=2)
+    got = dedup_lines(docs, name=None)
+    assert got.columns == docs.columns and got.first() == (1, "one line here", 5)
+    assert dedup_lines(docs, name="found", shortest=30).first()["text"] == docs.first()["text"]
+
+
 def test_empty_and_no_python(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     out = dedup_lines(none)
