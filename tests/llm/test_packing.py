@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from cadastra.llm import packing
 from cadastra.llm.packing import WordTokens, best_fit_decreasing, lower_bound, pack_documents, pieces, sequences, word_bpe
@@ -35,6 +37,23 @@ def test_any_word_gives_the_tokenizers_ids():
         assert np.frombuffer(raw, "<u4").tolist() == tok.encode(x, add_special_tokens=False).ids, repr(x)
 
 
+def test_every_token_is_made_of_its_own_bytes():
+    """What the merging by joined bytes rests on: alone, each token merges into itself, with and without a word's end."""
+    with open(word_bpe(), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    inner = BPE(vocab=model["vocab"], merges=merges)
+    ending = BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=WordTokens.END)
+    for token, i in model["vocab"].items():
+        if not token.startswith("<|"):
+            body = token.removesuffix(WordTokens.END)
+            assert [x.id for x in (inner if body == token else ending).tokenize(body)] == [i], token
+
+
+def test_no_words():
+    assert WordTokens(word_bpe())(["", " ", "\n\n"]) == [b""] * 3 and WordTokens(word_bpe())(["中", "'"])[1]
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_best_fit(seed):
     r = np.random.default_rng(seed)
@@ -62,7 +81,7 @@ def test_round_trip(spark, group, monkeypatch):
     rows = [(i, " ".join(r.choice(["the", "Alpha", "x1", "é"]) for _ in range(r.randrange(0, 140)))) for i in range(200)]
     rows += [(900 + i, t) for i, t in enumerate(TEXTS)] + [(1000, None), (1001, "long text " * 500)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("x")).withColumn("row", F.lit(0))
-    found = packing.staged(pieces(docs, word_bpe(), 64), "pieces")
+    found = packing.numbered(pieces(docs, word_bpe(), 64, keep_ids=True))
     packed = packing.pack_pieces(found, 64, group)
     got = packed.collect()
     by_doc, by_seq = {}, {}
@@ -84,7 +103,7 @@ def test_round_trip(spark, group, monkeypatch):
         assert at <= 64
     if group > 1000:
         assert len(by_seq) <= lower_bound(np.array([x.length for x in got]), 64) + 1
-    seqs = {x.sequence_id: np.frombuffer(x.ids, "<u4").tolist() for x in sequences(packed, pieces(docs, word_bpe(), 64, keep_ids=True)).collect()}
+    seqs = {x.sequence_id: np.frombuffer(x.ids, "<u4").tolist() for x in sequences(packed, found).collect()}
     for x in got[:50]:
         assert seqs[x.sequence_id][x.offset : x.offset + x.length] == ids_of(dict(rows)[x.doc_id])[x.start : x.start + x.length]
 
@@ -92,5 +111,40 @@ def test_round_trip(spark, group, monkeypatch):
 def test_repeated_null_and_empty(spark):
     rows = [(1, "a b")] * 30 + [(None, None)]
     got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), word_bpe()).collect()
-    assert len(got) == 31 and len({(x.sequence_id, x.offset) for x in got}) == 31
+    assert len(got) == 31 and len({(x.sequence_id, x.offset) for x in got}) == 31 == len({x.row for x in got})
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string"), word_bpe()).count() == 0
+
+
+def fewest(lengths, capacity):
+    """The least number of sequences, by trying every placement of the longest piece that is left."""
+    best = len(lengths)
+
+    def place(rest, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if not rest:
+            best = len(free)
+            return
+        n, *rest = rest
+        for i in {f: i for i, f in enumerate(free) if f >= n}.values():
+            place(rest, [*free[:i], free[i] - n, *free[i + 1 :]])
+        place(rest, [*free, capacity - n])
+
+    place(sorted(lengths, reverse=True), [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tiny_inputs_against_the_optimum(seed):
+    r = np.random.default_rng(seed)
+    length = r.integers(8, 60, 11)
+    bins, least = best_fit_decreasing(length, 100)[2], fewest(length.tolist(), 100)
+    assert lower_bound(length, 100) <= least <= bins <= least + 1
+
+
+def test_repacking_saves_sequences_and_can_be_limited(spark):
+    rows = [(i, 0, 0, n, 0, i) for i, n in enumerate([51, 26, 23] * 60 + [34, 33, 33] * 40)]
+    found = packing.staged(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long, row long"), "pieces")
+    used = [packing.pack_pieces(found, 100, 10, rounds).select("sequence_id").distinct().count() for rounds in (0, None)]
+    assert 100 <= used[1] <= used[0]
