@@ -7,9 +7,9 @@ under each length from its own down to ``edits`` less, at the starts that the mu
 1. One pass over the texts writes each line's place, its 128-bit hash and its keys (hashes of length, segment number and
    substring, cut from four bytes a character); no text. Keys that only one text gives are dropped, most of all keys.
 2. Lines with one of the other keys are the only ones whose text moves; each distinct text does once and gets a number.
-3. Their segments and substrings are joined. A key with more than ``HOT`` segment rows is split by the counts of two
-   character classes, which differ by at most ``edits`` between lines that close, and so on with further classes while
-   rows meet more than ``HOT`` others.
+3. Their segments and substrings are joined. A key with more than ``HOT`` segment rows is split by counts of character
+   classes: ``edits`` edits change at most twice as many counts, so of one more groups of classes, the counts of one group
+   are the same in both lines. Rows grow by that number, whatever the size of the key's group.
 4. Pairs whose character class counts are near enough are verified by banded bit-parallel edit distance; what is kept is
    that the later line of a pair has an earlier one.
 
@@ -31,8 +31,6 @@ HOT = 16
 #: Rows of one long that are broadcast at most (about 50 MB in memory); a longer list is joined by a shuffle.
 MAX_BROADCAST = 1_000_000
 CLASSES = ("eé", "tz", "aà", "o", "nñ", "i", "rk", "sß", "hc", "dlm", "0123456789", " ")
-#: Classes whose counts split a hot key, level by level.
-LEVELS = ((0, 2), (1, 3), (4, 5), (6, 7), (8, 9), (10, 11))
 
 
 def _starts(edits: int) -> list[tuple[int, int, int]]:
@@ -165,29 +163,20 @@ def _pairs(near: DataFrame, edits: int) -> DataFrame:
     filed = narrow.select("n", "counts", F.explode(_keys(_filed(edits), edits)).alias("key"))
     sought = narrow.select("n", "counts", F.explode(F.array_distinct(_keys(_starts(edits), edits))).alias("key"))
     apart = F.aggregate(F.zip_with("counts", "counts2", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    split = lambda c: F.floor(F.get("counts", F.lit(c)) / (edits + 1))
-    found, held = [], []
-    for level in range(len(LEVELS) + 1):
-        filed, sought = staged(filed, "filed-keys"), staged(sought, "sought-keys")
-        held += [filed, sought]
-        count = filed.groupBy("key").count()
-        hot = staged(count.where(F.col("count") > HOT).select("key"), "hot-line-keys") if level < len(LEVELS) else None
-        cold = filed if hot is None else filed.join(hot, "key", "left_anti")
-        other = sought.withColumnsRenamed({"n": "m", "counts": "counts2"})
-        met = cold.join(other, "key").where((F.col("n") != F.col("m")) & (apart <= 2 * edits))
-        pairs = met.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct()
-        found.append(staged(pairs, "line-pairs"))
-        if hot is None or not hot.limit(1).count():
-            break
-        held.append(hot)
-        x, y = LEVELS[level]
-        around = F.array(*[F.struct(F.lit(i).alias("x"), F.lit(j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        filed = filed.join(hot, "key", "left_semi").select("n", "counts", F.xxhash64("key", split(x), split(y)).alias("key"))
-        sought = sought.join(hot, "key", "left_semi").select("n", "counts", "key", F.explode(around).alias("by")).select(
-            "n", "counts", F.xxhash64("key", split(x) + F.col("by.x"), split(y) + F.col("by.y")).alias("key")
-        ).join(filed.select("key").distinct(), "key", "left_semi")
-    out = staged(reduce(DataFrame.unionByName, found).distinct() if len(found) > 1 else found[0], "line-pairs")
-    for part in (*held, *(found if len(found) > 1 else [])):
+    filed, sought = staged(filed, "filed-keys"), staged(sought, "sought-keys")
+    hot = staged(filed.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot-line-keys")
+    groups = 2 * edits + 1
+    of_group = [F.array(*[F.get("counts", F.lit(c)) for c in range(g, len(CLASSES), groups)]) for g in range(groups)]
+    finer = F.explode(F.array(*[F.xxhash64("key", F.lit(g), counts) for g, counts in enumerate(of_group)])).alias("key")
+
+    def split(rows: DataFrame) -> DataFrame:
+        cold, warm = rows.join(hot, "key", "left_anti"), rows.join(hot, "key", "left_semi")
+        return cold.select("n", "counts", "key").unionByName(warm.select("n", "counts", finer))
+
+    other = split(sought).withColumnsRenamed({"n": "m", "counts": "counts2"})
+    met = split(filed).join(other, "key").where((F.col("n") != F.col("m")) & (apart <= 2 * edits))
+    out = staged(met.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct(), "line-pairs")
+    for part in (filed, sought, hot):
         discard(part)
     return out
 
