@@ -1,8 +1,8 @@
 """Arbitration of overlapping claims on the houses of a street.
 
-Claims are joined by kind, so each branch keeps an equality key: unbounded kinds on the street, singles on street and
-number, intervals on street and number bucket. A house then goes to the one station that holds the most specific claims
-on it; a tie between stations is a conflict and links nobody.
+Claims are joined in two branches, each with an equality key: unbounded kinds on the street, numbers and ranges on street
+and number bucket. A house then goes to the one station that holds the most specific claims on it; a tie between stations
+is a conflict and links nobody. Both are told by aggregates over (house, specificity), which combine before the shuffle.
 
 Settlement-wide claims can meet thousands of houses on one street: the joins stay hash partitioned and adaptive skew
 splitting applies, since no branch is a nested loop.
@@ -10,7 +10,7 @@ splitting applies, since no branch is a nested loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions.house import bounds_ok, parity_ok
@@ -22,11 +22,11 @@ BUCKET = 32
 HOUSE = ("address_id", "street_id", "house_num", "suffix", "rank")
 
 
-def _buckets(claims: DataFrame, limit: Column | int) -> DataFrame:
-    """One row per number bucket that an interval reaches, up to the largest number of any house."""
-    last = F.floor(F.least("hi", F.lit(limit) if isinstance(limit, int) else limit) / BUCKET)
-    first = F.floor(F.col("lo") / BUCKET)
-    return claims.where(last >= first).withColumn("bucket", F.explode(F.sequence(first, last)))
+def _buckets(claims: DataFrame, houses: DataFrame) -> DataFrame:
+    """One row per number bucket that a claim from lo to hi reaches, up to the largest number of its own street."""
+    tops = houses.where("house_num IS NOT NULL").groupBy("street_id").agg(F.max("house_num").alias("top"))
+    last, first = F.floor(F.least("hi", "top") / BUCKET), F.floor(F.col("lo") / BUCKET)
+    return claims.join(tops, "street_id").where(last >= first).withColumn("bucket", F.explode(F.sequence(first, last))).drop("top")
 
 
 def claim_matches(houses: DataFrame, claims: DataFrame) -> DataFrame:
@@ -34,71 +34,64 @@ def claim_matches(houses: DataFrame, claims: DataFrame) -> DataFrame:
     lo, hi, parity, lo_rank, hi_rank, num, num_suffix) -> (address_id, claim_no, seg_id, station_id, spec).
 
     A null house number takes part in whole, settlement and no-number claims only.
-    """
-    who = ("claim_no", "seg_id", "station_id")
-    broad = houses.join(claims.where(F.col("kind").isin("whole", "sett_whole")), "street_id").select(
-        "address_id", *who, F.when(F.col("kind") == "whole", WHOLE).otherwise(SETTLEMENT).alias("spec")
-    )
-    bare = houses.where("house_num IS NULL").join(claims.where("kind = 'bez_broja'"), "street_id")
-    bare = bare.select("address_id", *who, F.lit(NO_NUMBER).alias("spec"))
-    numbered = houses.where("house_num IS NOT NULL")
-    one = claims.where("kind = 'single'").withColumn("house_num", F.col("num"))
-    single = numbered.join(one, ["street_id", "house_num"]).where(
-        (F.col("num_suffix") == F.col("suffix")) | ((F.col("num_suffix") == "") & (F.col("suffix") != ""))
-    )
-    single = single.select(
-        "address_id", *who, F.when(F.col("num_suffix") == F.col("suffix"), EXACT_SINGLE).otherwise(IMPLIED_SINGLE).alias("spec")
-    )
-    top = numbered.agg(F.max("house_num").alias("top"))
-    ranges = claims.where("kind = 'interval'").join(F.broadcast(top)).transform(lambda c: _buckets(c, F.coalesce("top", F.lit(0))))
-    num, rank = F.col("house_num"), F.col("rank")
-    inside = numbered.withColumn("bucket", F.floor(num / BUCKET)).join(ranges, ["street_id", "bucket"]).where(
-        num.between(F.col("lo"), F.col("hi"))
-        & parity_ok(num, F.col("parity"))
-        & bounds_ok(num, rank, F.col("lo"), F.col("hi"), F.col("lo_rank"), F.col("hi_rank"))
-    )
+    """
+    who = ("address_id", "claim_no", "seg_id", "station_id")
+    kind, num, suffix = F.col("kind"), F.col("house_num"), F.col("suffix")
+    wide = claims.where(kind.isin("whole", "sett_whole", "bez_broja")).select("street_id", "kind", *who[1:])
+    broad = houses.select("street_id", "address_id", "house_num").join(wide, "street_id").where((kind != "bez_broja") | num.isNull())
+    broad = broad.select(*who, F.when(kind == "whole", WHOLE).when(kind == "sett_whole", SETTLEMENT).otherwise(NO_NUMBER).alias("spec"))
+    one = kind == "single"
+    narrow = claims.where(kind.isin("single", "interval")).withColumns({"lo": F.when(one, F.col("num")).otherwise(F.col("lo")), "hi": F.when(one, F.col("num")).otherwise(F.col("hi"))})
+    numbered = houses.where(num.isNotNull())
+    met = numbered.withColumn("bucket", F.floor(num / BUCKET)).join(_buckets(narrow, numbered), ["street_id", "bucket"])
+    same, bare = F.col("num_suffix") == suffix, F.col("num_suffix") == ""
+    spanned = parity_ok(num, F.col("parity")) & bounds_ok(num, F.col("rank"), F.col("lo"), F.col("hi"), F.col("lo_rank"), F.col("hi_rank"))
+    met = met.where(num.between(F.col("lo"), F.col("hi")) & F.when(one, same | bare).otherwise(spanned))
     pinned = ((num == F.col("lo")) & (F.size("lo_rank") > 0)) | ((num == F.col("hi")) & (F.size("hi_rank") > 0))
-    inside = inside.select("address_id", *who, F.when((F.col("suffix") != "") & ~pinned, IMPLIED_EDGE).otherwise(INTERVAL).alias("spec"))
-    return broad.unionByName(bare).unionByName(single).unionByName(inside)
+    spec = F.when(one, F.when(same, EXACT_SINGLE).otherwise(IMPLIED_SINGLE)).when((suffix != "") & ~pinned, IMPLIED_EDGE).otherwise(INTERVAL)
+    return broad.unionByName(met.select(*who, spec.alias("spec")))
 
 
 def top_claims(matches: DataFrame) -> DataFrame:
-    """The matches of highest specificity of each house, with the number of stations among them."""
-    best = F.rank().over(Window.partitionBy("address_id").orderBy(F.col("spec").desc()))
-    top = matches.withColumn("place", best).where("place = 1").drop("place")
-    per_house = Window.partitionBy("address_id")
-    return top.withColumn("stations", F.size(F.collect_set("station_id").over(per_house)))
+    """(address_id, spec, least, most, seg_id, claim_no): each house's highest specificity, the least and the largest
+    station that has it, and the lowest claim with it."""
+    level = matches.groupBy("address_id", "spec").agg(
+        F.min("station_id").alias("least"), F.max("station_id").alias("most"), F.min_by("seg_id", "claim_no").alias("seg_id"), F.min("claim_no").alias("claim_no")
+    )
+    best = [F.max_by(c, "spec").alias(c) for c in ("least", "most", "seg_id", "claim_no")]
+    return level.groupBy("address_id").agg(F.max("spec").alias("spec"), *best)
 
 
 def arbitrate(matches: DataFrame) -> DataFrame:
     """(address_id, station_id, seg_id, claim_no, spec): the winner of each house that has one; lowest claim_no of it."""
-    won = top_claims(matches).where("stations = 1")
-    first = F.min_by(F.struct("station_id", "seg_id", "claim_no", "spec"), "claim_no")
-    return won.groupBy("address_id").agg(first.alias("w")).select("address_id", "w.*")
+    won = top_claims(matches).where("least = most")
+    return won.select("address_id", F.col("least").alias("station_id"), "seg_id", "claim_no", "spec")
 
 
 def conflicts(matches: DataFrame) -> DataFrame:
-    """(seg_id, opponents): the other stations that tie with a segment on some house, in order."""
-    tied = top_claims(matches).where("stations > 1").select("address_id", "seg_id", "station_id")
-    per_house = tied.groupBy("address_id").agg(F.collect_set("station_id").alias("all"))
-    others = tied.join(per_house, "address_id").select(
-        "seg_id", F.explode(F.array_except("all", F.array("station_id"))).alias("station_id")
-    )
-    return others.groupBy("seg_id").agg(F.array_sort(F.collect_set("station_id")).alias("opponents"))
+    """(seg_id, opponents): the other stations that tie with a segment on some house, in order.
+
+    Houses with the same stations tie are one row per segment before pairs are made.
+    """
+    ties = top_claims(matches).where("least < most").select("address_id", "spec")
+    tied = matches.join(ties, ["address_id", "spec"]).select("address_id", "seg_id", "station_id").distinct()
+    rivals = tied.groupBy("address_id").agg(F.array_sort(F.collect_set("station_id")).alias("rivals"))
+    met = tied.join(rivals, "address_id").select("seg_id", "station_id", "rivals").distinct()
+    others = met.select("seg_id", F.explode(F.array_except("rivals", F.array("station_id"))).alias("station_id")).distinct()
+    return others.groupBy("seg_id").agg(F.array_sort(F.collect_list("station_id")).alias("opponents"))
 
 
 def parity_unconfirmed(houses: DataFrame, claims: DataFrame, links: DataFrame) -> DataFrame:
     """(seg_id) of one-sided intervals whose other side has houses of which no other station holds any."""
     sided = claims.where("kind = 'interval' AND parity <> 'all'")
-    top = houses.agg(F.max("house_num").alias("top"))
-    spread = sided.join(F.broadcast(top)).transform(lambda c: _buckets(c, F.coalesce("top", F.lit(0))))
+    spread = _buckets(sided, houses)
     held = links.select("address_id", F.col("station_id").alias("holder"))
     numbered = houses.where("house_num IS NOT NULL").withColumn("bucket", F.floor(F.col("house_num") / BUCKET))
     num = F.col("house_num")
     met = numbered.join(spread, ["street_id", "bucket"]).where(
         num.between(F.col("lo"), F.col("hi")) & ((num % 2 == 0) == (F.col("parity") == "odd"))
     )
-    per_claim = met.join(held, "address_id", "left").groupBy("claim_no", "seg_id").agg(
+    per_claim = met.join(held, "address_id", "left").groupBy("street_id", "claim_no", "seg_id").agg(
         F.bool_or(F.coalesce(F.col("holder") != F.col("station_id"), F.lit(False))).alias("confirmed")
     )
     return per_claim.where("NOT confirmed").select("seg_id").distinct()

@@ -66,17 +66,27 @@ def drop_old_names(segments: DataFrame) -> DataFrame:
     return segments.join(again, "seg_id", "left_anti")
 
 
+#: Claims of one segment on one street at most; more raise an error.
+MOST_CLAIMS = 100_000
+
+
 def emit_claims(resolved: DataFrame) -> DataFrame:
     """resolved(seg_id, station_id, street_id, extra, intervals, singles, whole, bez_broja, whole_kind) -> claims, one
-    row per street and number clause, numbered in segment order within the station."""
+    row per street and clause. claim_no follows segments, then clauses as they stand: whole, ranges, numbers, no number."""
     from cadastra.functions.house import suffix_rank
 
-    targets = resolved.where("street_id IS NOT NULL").withColumn("street_id", F.explode(F.concat(F.array("street_id"), "extra")))
-    blank = "CAST(NULL AS BIGINT)"
-    base = ["seg_id", "station_id", "street_id"]
-    whole = targets.where("whole").selectExpr(*base, "whole_kind AS kind", f"{blank} AS lo", f"{blank} AS hi", "'all' AS parity", "'' AS lo_sfx", "'' AS hi_sfx", f"{blank} AS num", "'' AS num_suffix")
-    none = targets.where("bez_broja").selectExpr(*base, "'bez_broja' AS kind", f"{blank} AS lo", f"{blank} AS hi", "'all' AS parity", "'' AS lo_sfx", "'' AS hi_sfx", f"{blank} AS num", "'' AS num_suffix")
-    spans = targets.select(*base, F.explode("intervals").alias("i")).selectExpr(*base, "'interval' AS kind", "i.lo", "i.hi", "i.parity", "i.lo_sfx", "i.hi_sfx", f"{blank} AS num", "'' AS num_suffix")
-    ones = targets.select(*base, F.explode("singles").alias("s")).selectExpr(*base, "'single' AS kind", f"{blank} AS lo", f"{blank} AS hi", "'all' AS parity", "'' AS lo_sfx", "'' AS hi_sfx", "s.num AS num", "s.suffix AS num_suffix")
-    both = whole.unionByName(none).unionByName(spans).unionByName(ones)
-    return both.withColumns({"lo_rank": suffix_rank(F.col("lo_sfx")), "hi_rank": suffix_rank(F.col("hi_sfx")), "claim_no": F.xxhash64("seg_id", "street_id", "kind", "lo", "num", "num_suffix")})
+    fields = {"kind": "string", "lo": "bigint", "hi": "bigint", "parity": "string", "lo_sfx": "string", "hi_sfx": "string", "num": "bigint", "num_suffix": "string"}
+    blank = {"parity": F.lit("all"), "lo_sfx": F.lit(""), "hi_sfx": F.lit(""), "num_suffix": F.lit("")}
+    clause = lambda **given: F.struct(*[(blank | given).get(f, F.lit(None)).cast(t).alias(f) for f, t in fields.items()])
+    none = F.array().cast(f"array<struct<{','.join(f'{f}:{t}' for f, t in fields.items())}>>")
+    only = lambda test, made: F.when(F.col(test), F.array(made)).otherwise(none)
+    clauses = F.concat(
+        only("whole", clause(kind=F.col("whole_kind"))),
+        F.transform(F.coalesce("intervals", F.array()), lambda i: clause(kind=F.lit("interval"), lo=i["lo"], hi=i["hi"], parity=i["parity"], lo_sfx=i["lo_sfx"], hi_sfx=i["hi_sfx"])),
+        F.transform(F.coalesce("singles", F.array()), lambda s: clause(kind=F.lit("single"), num=s["num"], num_suffix=s["suffix"])),
+        only("bez_broja", clause(kind=F.lit("bez_broja"))),
+    )
+    numbered = resolved.where("street_id IS NOT NULL").select("seg_id", "station_id", F.concat(F.array("street_id"), "extra").alias("streets"), F.posexplode(clauses).alias("at", "c"))
+    number = F.when(F.col("at") < MOST_CLAIMS, F.col("seg_id") * MOST_CLAIMS + F.col("at")).otherwise(F.raise_error(F.lit("too many clauses in a segment")))
+    out = numbered.select("seg_id", "station_id", F.explode(F.array_distinct("streets")).alias("street_id"), number.cast("long").alias("claim_no"), "c.*")
+    return out.withColumns({"lo_rank": suffix_rank(F.col("lo_sfx")), "hi_rank": suffix_rank(F.col("hi_sfx"))})

@@ -67,7 +67,7 @@ def test_ladder(spark):
     assert got[3].extra == ["st3"] and got[4].method == "none"
     assert (got[5].street_id, got[5].method) == ("st6", "muni_fallback") and (got[50].street_id, got[50].method) == ("st6", "exact")
     assert got[6].street_id == "st7" and got[6].method == "fuzzy" and round(got[6].score, 1) == 95.5
-    assert (got[7].street_id, got[7].method) == ("sett:S2", "settlement") and got[8].method == "ambiguous" and got[8].extra == ["st8", "st9"]
+    assert (got[7].street_id, got[7].extra, got[7].method) == ("st6", ["st9"], "settlement") and got[8].method == "ambiguous" and got[8].extra == ["st8", "st9"]
     assert got[9].street_id == "st1" and got[10].method == "none"
 
 
