@@ -30,7 +30,8 @@ EDITS = 2
 HOT = 16
 #: Rows of one long that are broadcast at most (about 50 MB in memory); a longer list is joined by a shuffle.
 MAX_BROADCAST = 1_000_000
-CLASSES = ("eé", "tz", "aà", "o", "nñ", "i", "rk", "sß", "hc", "dlm", "0123456789", " ")
+#: Characters that are counted together; an edit changes at most two counts, by one each.
+CLASSES = (*"etaonirshdlucmwgpbyfvk .", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "áàâäéèêëíîïñóôöúûüçß")
 
 
 def _starts(edits: int) -> list[tuple[int, int, int]]:
@@ -166,15 +167,18 @@ def _pairs(near: DataFrame, edits: int) -> DataFrame:
     filed, sought = staged(filed, "filed-keys"), staged(sought, "sought-keys")
     hot = staged(filed.groupBy("key").count().where(F.col("count") > HOT).select("key"), "hot-line-keys")
     groups = 2 * edits + 1
-    of_group = [F.array(*[F.get("counts", F.lit(c)) for c in range(g, len(CLASSES), groups)]) for g in range(groups)]
-    finer = F.explode(F.array(*[F.xxhash64("key", F.lit(g), counts) for g, counts in enumerate(of_group)])).alias("key")
+    of_group = lambda counts, g: F.array(*[F.get(counts, F.lit(c)) for c in range(g, len(CLASSES), groups)])
+    finer = F.explode(F.array(*[F.struct(F.xxhash64("key", F.lit(g), of_group("counts", g)).alias("key"), F.lit(g).alias("g")) for g in range(groups)])).alias("x")
 
     def split(rows: DataFrame) -> DataFrame:
         cold, warm = rows.join(hot, "key", "left_anti"), rows.join(hot, "key", "left_semi")
-        return cold.select("n", "counts", "key").unionByName(warm.select("n", "counts", finer))
+        return cold.select("n", "counts", "key", F.lit(-1).alias("g")).unionByName(warm.select("n", "counts", finer).select("n", "counts", "x.*"))
 
-    other = split(sought).withColumnsRenamed({"n": "m", "counts": "counts2"})
-    met = split(filed).join(other, "key").where((F.col("n") != F.col("m")) & (apart <= 2 * edits))
+    other = split(sought).withColumnsRenamed({"n": "m", "counts": "counts2", "g": "g2"})
+    # Lines that agree in several groups meet in the first of them only.
+    first = F.coalesce(*[F.when(of_group("counts", g) == of_group("counts2", g), g) for g in range(groups)], F.lit(groups))
+    once = (F.col("g") < 0) | (F.col("g") == first)
+    met = split(filed).join(other, "key").where((F.col("n") != F.col("m")) & (apart <= 2 * edits) & once)
     out = staged(met.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct(), "line-pairs")
     for part in (filed, sought, hot):
         discard(part)
