@@ -2,27 +2,33 @@
 
 Everything is DataFrame functions. The measures of a text are computed in its own row, with array functions, so no word
 leaves its document. Repeated 3-word windows are found by sorting the 64-bit hashes of the windows and looking at
-neighbours. Each (language, source) group then gets a KLL sketch per measure; small groups fall back on the merged sketch
-of their language, and small languages on that of all rows. A document fails where a measure lies outside
-``median +- max(REACH * interquartile range, slack)`` of its group.
+neighbours. Each (language, source) group then gets a quantile sketch per measure: counts of buckets whose edges lie at
+most 1/64 apart, relative to their value. Sketches merge by adding counts, so those of a language and of all rows are sums,
+and the same rows give the same quantiles in any order. The quantiles of a group are drawn towards those of its language,
+and these towards those of all rows, as if ``prior`` more documents had them: little in a large group, nearly all the way
+in a tiny one, with no size at which the rule switches.
 
-The sketches are built by partial aggregation, so a source that holds a third of all rows costs a few kilobytes a task.
+A document fails where a measure lies farther from its group's median than ``reach`` interquartile ranges and than what
+chance allows in a text of its size: ``chance`` over the root of its number of words (or lines, for what comes by lines).
+
+Counting is a partial aggregation, so a source that holds a third of all rows costs a few kilobytes a task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.llm.common import SPACE, SPACE_RE, join_null_safe, staged, table
 
 SYMBOLS = "#*$%&|<>"
-#: Least distance from the median that can fail a document, for groups in which a measure hardly varies.
-SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.4, "repeat_ratio": 0.4, "mean_word_chars": 1.5}
+#: Each measure, the count that tells how much chance it is open to, and its scale (a mean length varies with the median).
+MEASURES = {"symbol_ratio": "n_words", "dup_line_ratio": "n_lines", "repeat_ratio": "n_lines", "mean_word_chars": "n_words"}
 TWO_SIDED = ("mean_word_chars",)
-REACH = 6.0
-SKETCH_K = 1024
-MIN_GROUP = 200
+SCALED = {"mean_word_chars": 2.0}
+REACH, CHANCE, PRIOR = 6.0, 1.0, 200
+#: Binary digits kept of a value, and of those behind its point.
+KEPT_BITS, POINT_BITS = 7, 20
 #: Up to so many distinct repeated windows, a word is looked up among them; beyond, the windows are sorted with places.
 FEW = 16
 
@@ -106,52 +112,70 @@ def ratios(found: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(found: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """found (with ratios) -> (lang, source, lo_<measure>, hi_<measure>) for each group that has a word."""
-    names = list(SLACK)
-    worded = found.where(F.col("n_words") > 0)
-    groups = worded.groupBy(lang_col, source_col).agg(
-        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(m, F.lit(SKETCH_K)).alias(m) for m in names]
-    )
-    groups = staged(groups, "sketches")
-
-    def marks(df: DataFrame, keys: list[str], at: str) -> DataFrame:
-        """Only the three quantiles of each sketch leave its row: a sketch is a thousand times as wide."""
-        at_each = [F.array(*[F.kll_sketch_get_quantile_double(m, F.lit(r)) for r in (0.25, 0.5, 0.75)]) for m in names]
-        return df.select(*keys, F.col("n").alias(f"{at}_n"), *[q.alias(f"{at}_{m}") for m, q in zip(names, at_each, strict=True)])
-
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in names]]
-    by_lang = marks(groups.groupBy(lang_col).agg(*merged), [lang_col], "lang")
-    overall = marks(groups.agg(*merged), [], "all")
-    met = join_null_safe(marks(groups, [lang_col, source_col], "own"), by_lang, [lang_col]).join(F.broadcast(overall))
-    out = []
-    for m in names:
-        q = F.when(F.col("own_n") >= MIN_GROUP, F.col(f"own_{m}")).when(F.col("lang_n") >= MIN_GROUP, F.col(f"lang_{m}")).otherwise(F.col(f"all_{m}"))
-        width = F.greatest(F.lit(REACH) * (q[2] - q[0]), F.lit(SLACK[m]))
-        out.append((q[1] + width).alias(f"hi_{m}"))
-        out.append((q[1] - width if m in TWO_SIDED else F.lit(float("-inf"))).alias(f"lo_{m}"))
-    return met.select(lang_col, source_col, *out)
-
-
-def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def bucket(value: Column) -> Column:
+    """The lower edge of a value's bucket, in units of 2 ** -POINT_BITS: its first KEPT_BITS binary digits."""
+    v = F.floor(value * F.lit(float(1 << POINT_BITS))).cast("long")
+    shift = F.greatest(F.length(F.bin(v)) - KEPT_BITS, F.lit(0))
+    return F.call_function("shiftleft", F.call_function("shiftright", v, shift), shift)
+
+
+def quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """counts(keys, measure, bucket, n) -> (keys, measure, n, q25, q50, q75): the least bucket that so many rows reach."""
+    own = [*keys, "measure"]
+    summed = counts.groupBy(*own, "bucket").agg(F.sum("n").alias("n"))
+    up = Window.partitionBy(*own).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = summed.withColumn("upto", F.sum("n").over(up)).withColumn("all", F.sum("n").over(Window.partitionBy(*own)))
+    at = lambda part: F.min(F.when(F.col("upto") * 4 >= F.col("all") * part, F.col("bucket"))) / F.lit(float(1 << POINT_BITS))
+    return ranked.groupBy(*own).agg(F.sum("n").alias("n"), at(1).alias("q25"), at(2).alias("q50"), at(3).alias("q75"))
+
+
+def thresholds(found: DataFrame, lang_col: str = "lang", source_col: str = "source", prior: int = PRIOR) -> DataFrame:
+    """found (with ratios) -> (lang, source, measure, q25, q50, q75) for each group that has a word, drawn as said above."""
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in MEASURES])).alias("x")
+    worded = found.where(F.col("n_words") > 0).select(lang_col, source_col, each).select(lang_col, source_col, "x.*")
+    counts = staged(worded.groupBy(lang_col, source_col, "measure", "bucket").agg(F.count(F.lit(1)).alias("n")), "sketches")
+
+    def drawn(lower: DataFrame, upper: DataFrame, keys: list[str]) -> DataFrame:
+        named = upper.withColumnsRenamed({"n": "up_n", **{q: f"up_{q}" for q in QUARTERS}})
+        met = join_null_safe(lower, named, [*keys, "measure"])
+        mean = lambda q: ((F.col("n") * F.col(q) + F.lit(float(prior)) * F.col(f"up_{q}")) / (F.col("n") + F.lit(float(prior)))).alias(q)
+        return met.select(*[c for c in lower.columns if c not in QUARTERS], *[mean(q) for q in QUARTERS])
+
+    by_lang = drawn(quartiles(counts, [lang_col]), quartiles(counts, []), [])
+    own = drawn(quartiles(counts, [lang_col, source_col]), by_lang.drop("n").withColumn("n", F.lit(0)), [lang_col])
+    return own.select(lang_col, source_col, "measure", *QUARTERS)
+
+
+QUARTERS = ("q25", "q50", "q75")
+
+
+def apply_rules(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
+    reach: float = REACH, chance: float = CHANCE, prior: int = PRIOR,
+) -> DataFrame:
     """One row per input row: the measures, base_failed and kept.
 
     base_failed: under 50 words, or over half of the words in repeated 3-word windows. kept is false there, else whether
     all measures lie within the thresholds of the document's (language, source) group. Null languages and sources form
-    groups of their own. An empty table gives an empty result; other columns are ignored.
-    """
+    groups of their own. Repeated rows are judged alike. An empty table gives an empty result; other columns are ignored.
+    """
     narrow = docs.select(
         F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text")
     )
     found = ratios(staged(measures(narrow), "measures"))
-    met = join_null_safe(found, thresholds(found), ["lang", "source"], "left")
+    limits = thresholds(found, prior=prior).groupBy("lang", "source").pivot("measure", list(MEASURES)).agg(*[F.first(q).alias(q) for q in QUARTERS])
+    met = join_null_safe(found, limits, ["lang", "source"], "left")
     inside = F.lit(True)
-    for m in SLACK:
-        inside &= F.coalesce(F.col(m).between(F.col(f"lo_{m}"), F.col(f"hi_{m}")), F.lit(True))
+    for m, units in MEASURES.items():
+        middle = F.col(f"{m}_q50")
+        by_chance = F.lit(chance) * (F.lit(SCALED[m]) * middle if m in SCALED else F.lit(1.0)) / F.sqrt(F.greatest(F.col(units), F.lit(1)))
+        width = F.greatest(F.lit(reach) * (F.col(f"{m}_q75") - F.col(f"{m}_q25")), by_chance)
+        near = F.col(m) <= middle + width
+        inside &= F.coalesce(near & (F.col(m) >= middle - width) if m in TWO_SIDED else near, F.lit(True))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return met.withColumn("base_failed", failed).withColumn("kept", ~failed & inside).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "lang", "source", *SLACK,
+        "lang", "source", *MEASURES,
     )
 
 
