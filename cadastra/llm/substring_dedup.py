@@ -12,8 +12,8 @@ windows with one minimiser form a super-k-mer and travel as one packed string.
    super-k-mers is dealt by whole windows instead, so no bucket in memory exceeds HOT strings of bounded length.
 4. Bring the flags back to their documents and cut the words.
 
-Documents are told apart by id and a hash of the text, so repeated rows need no number of their own: each counts as a
-document, and all get the same flags. Texts are shuffled compressed.
+Documents are told apart by 96 bits of hashes of id and text, null ids and different texts of one id included; repeated rows
+need no number of their own: each counts as a document, and all get the same flags. Texts are shuffled compressed.
 """
 
 from __future__ import annotations
@@ -86,9 +86,8 @@ def super_kmers(h: np.ndarray, window: int, mer: int) -> tuple[np.ndarray, np.nd
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> list:
-    return [
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("k1"), F.hash(F.col(text_col)).alias("k2"),
-    ]
+    """96 bits that stand for a row's id and text, of two hash functions."""
+    return [F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("k1"), F.hash(F.col(text_col)).alias("k2")]
 
 
 def _batch(names: list[str], rows: list[tuple], kinds: list) -> pa.RecordBatch:
