@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import spread, staged, text_bytes
+from cadastra.llm.common import discard, join_null_safe, spread, staged, text_bytes
 from cadastra.llm.components import connected_components
 from cadastra.llm.simhash import SEED, _fingerprint, _signed, links, shingle_hashes
 
@@ -41,13 +41,18 @@ def _band_keys(hashes: np.ndarray) -> list[int]:
     return [_signed(xxhash.xxh64_intdigest(band.tobytes(), i)) for i, band in enumerate(least.reshape(BANDS, ROWS))]
 
 
+def _tie(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col)).alias("tie")
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, sid, fp, keys, shingles, row) as staged, one row per input row; sid is a hash of the sorted distinct shingle hashes."""
+    """(doc_id, tie, sid, fp, keys, shingles, row) as staged, one row per input row; sid is a hash of the sorted distinct shingle
+    hashes, tie one of the text that tells rows of one doc_id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sids, fps, keys, packed = [], [], [], []
-            for x in b.column(1):
+            for x in b.column(2):
                 raw = shingle_hashes(x.as_buffer().to_pybytes(), shingle)
                 own = np.unique(raw)
                 packed.append(own.tobytes())
@@ -55,10 +60,10 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFram
                 fps.append(_signed(_fingerprint(raw)))
                 keys.append(_band_keys(own) if len(own) else [])
             cols = [pa.array(sids, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["doc_id", "sid", "fp", "keys", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *cols], names=["doc_id", "tie", "sid", "fp", "keys", "shingles"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("t"))
-    made = narrow.mapInArrow(run, "doc_id long, sid long, fp long, keys array<long>, shingles binary")
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), _tie(text_col), text_bytes(text_col).alias("t"))
+    made = narrow.mapInArrow(run, "doc_id long, tie long, sid long, fp long, keys array<long>, shingles binary")
     return staged(made.withColumn("row", F.monotonically_increasing_id()), "near-sets")
 
 
@@ -108,16 +113,17 @@ def similar_groups(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 
 def _groups(members: DataFrame, similarity: float) -> DataFrame:
-    """members(root, sid, least, shingles) -> (sid, component_id); a candidate component is one run of a sorted partition."""
+    """members(root, sid, least, shingles) -> (sid, component_id, component_tie); a candidate component is one run of a
+    sorted partition."""
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
-        sids, ids = [r[0] for r in rows], [r[1] for r in rows]
+        firsts = [(r[1]["last"], r[1]["doc_id"] or 0, r[1]["tie"]) for r in rows]
         group, best = similar_groups([np.frombuffer(r[2], "<u8") for r in rows], similarity).tolist(), {}
-        for g, i in zip(group, ids, strict=True):
-            if i is not None:
-                best[g] = min(i, best.get(g, i))
-        cols = [pa.array(sids, pa.int64()), pa.array([best.get(g) for g in group], pa.int64())]
-        return pa.RecordBatch.from_arrays(cols, names=["sid", "component_id"])
+        for g, first in zip(group, firsts, strict=True):
+            best[g] = min(first, best.get(g, first))
+        won = [best[g] for g in group]
+        cols = [[r[0] for r in rows], [None if last else i for last, i, _ in won], [tie for *_, tie in won]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["sid", "component_id", "component_tie"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
@@ -132,17 +138,22 @@ def _groups(members: DataFrame, similarity: float) -> DataFrame:
             yield settle(rows)
 
     dealt = members.select("root", "sid", "least", "shingles").repartition(spread(members.sparkSession), "root").sortWithinPartitions("root", "sid")
-    return dealt.mapInArrow(run, "sid long, component_id long")
+    return dealt.mapInArrow(run, "sid long, component_id long, component_tie long")
 
 
 def _labelled(sets: DataFrame, similarity: float, distance: int) -> DataFrame:
-    """sets(row, ...) as staged -> (sid, component_id), one row of each sid; of copies only the first row's set moves."""
-    named = staged(sets.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("row").alias("row")), "near-names")
+    """sets(row, ...) as staged -> (sid, component_id, component_tie), one row of each sid: the id and tie of the component's
+    first row, null ids last. Of copies only one row's set moves."""
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie")
+    named = staged(sets.groupBy("sid").agg(F.min(order).alias("least"), F.min("row").alias("row")), "near-names")
     firsts = staged(sets.select("row", "sid", "fp", "keys").join(named.select("row"), "row", "left_semi"), "near-rows")
     roots = connected_components(_candidates(firsts, distance)).withColumnRenamed("node", "sid")
     members = sets.select("row", "shingles").join(named.join(roots, "sid"), "row")
     found = staged(_groups(members, similarity), "near-groups")
-    return named.select("sid", "least").join(found, "sid", "left").select("sid", F.coalesce("component_id", "least").alias("component_id"))
+    discard(firsts)
+    met = named.select("sid", "least").join(found.withColumn("met", F.lit(True)), "sid", "left")
+    own = lambda c, of: F.when(F.col("met"), F.col(c)).otherwise(F.col(f"least.{of}")).alias(c)
+    return met.select("sid", own("component_id", "doc_id"), own("component_tie", "tie"))
 
 
 def near_copy_groups(
@@ -160,11 +171,13 @@ def near_copy_groups(
 def keep_one_copy(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, distance: int = 3
 ) -> DataFrame:
-    """The documents whose id is the smallest of their group of near copies; of repeated rows of that id, one stays.
+    """One row of docs of each group of near copies: that of the smallest id, null ids last, and by a hash of the text where
+    an id has several texts in the group. Of rows equal in id and text any one stays.
 
-    Columns are those of docs. Rows with a null id all stay, as no id could name the one to keep.
+    Different texts under one id are different documents, also under a null id. Columns are those of docs; an empty table
+    gives an empty result.
     """
-    found = _labelled(_sets(docs, id_col, text_col, shingle), similarity, distance)
-    stay = found.where("component_id IS NOT NULL").select(F.col("component_id").alias("__stay")).distinct()
-    named = docs.join(stay, F.col(id_col).cast("long") == F.col("__stay"), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    sets = _sets(docs, id_col, text_col, shingle)
+    stay = _labelled(sets, similarity, distance).select(F.col("component_id").alias("__id"), F.col("component_tie").alias("__tie")).distinct()
+    own = docs.withColumns({"__id": F.col(id_col).cast("long"), "__tie": _tie(text_col)})
+    return join_null_safe(own, stay, ["__id", "__tie"], "left_semi").dropDuplicates(["__id", "__tie"]).select(*docs.columns)

@@ -187,17 +187,6 @@ def near_duplicate_groups(
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
-    """The documents whose id is the smallest of their group; of repeated rows of that id, one stays.
-
-    Columns are those of docs. Rows with a null id all stay, as no id could name the one to keep.
-    """
-    found = near_duplicate_groups(docs, id_col, text_col, shingle, distance)
-    stay = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__stay")).distinct()
-    named = docs.join(stay, F.col(id_col).cast("long") == F.col("__stay"), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
-
-
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     from cadastra.llm.common import table
 

@@ -4,7 +4,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cadastra.llm import simhash
-from cadastra.llm.simhash import fingerprint_of, keep_one, near_duplicate_groups
+from cadastra.llm.simhash import fingerprint_of, near_duplicate_groups
 
 
 def plain_fingerprint(text):
@@ -103,8 +103,3 @@ def test_very_long_and_empty(spark):
     assert fingerprint_of(long.encode()) == plain_fingerprint(long)
     none = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicate_groups(none).count() == 0
-
-
-def test_keep_one(spark):
-    rows = [(5, "a b c d"), (3, "a b c d"), (3, "a b c d"), (7, "entirely other words here")]
-    assert sorted(r.doc_id for r in keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [3, 7]
