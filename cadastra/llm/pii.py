@@ -1,10 +1,11 @@
 """Personal data in texts: exact base detectors, and a semi-Markov conditional random field that adds spans.
 
-The field runs over the digit groups of a numeric region (and over written-out e-mail addresses). A segment of up to
-``MAX_GROUPS`` groups is scored as a whole: its digits, grouping, separators, check digit, octets, neighbours and the
-word before it. Dynamic programming over the groups picks boundaries and kinds together; everything outside such regions
-is no entity in any labelling, so leaving it out changes no result. The weights are fitted by regularised maximum
-likelihood on labelled lines that ``training_lines`` writes from a seed; no corpus row is used.
+The field runs over the digit groups of a numeric region and over the labels of a written-out e-mail address. A segment of
+up to ``max_groups`` groups (an address: of all its labels) is scored as a whole: its digits, grouping, separators, check
+digit, octets, marks, neighbours, the word before it, and the kind of segment it follows. Dynamic programming over groups
+and kinds picks boundaries and types together; everything outside such regions is no entity in any labelling, so leaving it
+out changes no result. The weights are fitted by regularised maximum likelihood on labelled lines that ``training_lines``
+and ``address_lines`` write from a seed; no corpus row is used.
 
 Base spans always stay; a span of the field that overlaps one is left out. All scans are linear in the text.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from cadastra.llm.common import table
 
 KINDS = ("email", "ip", "card", "phone")
+#: Digit groups of one number at most: a number written in more groups is not added (base detectors have no such bound).
 MAX_GROUPS = 6
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -35,13 +37,15 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 REGION = re.compile(r"(?<!\w)[+(]{0,2}[0-9]+(?:[ ().-]{1,3}[0-9]+)*+")
 GROUP = re.compile(r"[0-9]+")
-SPELLED = re.compile(
-    r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+(?: ?(?:\(dot\)|\[dot\]|\.) ?[A-Za-z0-9-]{1,63}+)+", re.I
-)
+_AT, _DOT = r"(?:\(at\)|\[at\])", r"(?: ?(?:\(dot\)|\[dot\]) ?|\. ?)"
+SPELLED = re.compile(rf"(?<![\w.%+-])([A-Za-z0-9._%+-]++ ?{_AT} ?[A-Za-z0-9-]++)((?:{_DOT}[A-Za-z0-9-]++)+)", re.I)
+MARK = re.compile(_AT, re.I)
+LABEL = re.compile(rf"({_DOT})([A-Za-z0-9-]++)", re.I)
 CUES = {
     "phone": ("tel", "phone", "call", "mobile", "fax", "telefon", "móvil", "portable", "whatsapp"),
     "card": ("card", "visa", "mastercard", "amex", "karte", "carte", "tarjeta"),
     "ip": ("ip", "host", "server", "address", "adresse"),
+    "email": ("mail", "email", "write", "contact", "contacto", "courriel", "correo", "kontakt", "schreiben"),
 }
 CUE = {w: k for k, ws in CUES.items() for w in ws}
 
@@ -77,14 +81,36 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _segments(text: str, groups: list[tuple[int, int]], floor: int) -> list[tuple[int, int, str, tuple[str, ...], int, int]]:
+Segment = tuple[int, int, str, tuple[str, ...], int, int]
+
+
+def _cue(text: str, at: int) -> str:
+    """The kind that the word before a place speaks for."""
+    word = re.findall(r"[^\W\d]+", text[max(0, at - 24) : at].lower())
+    return CUE.get(word[-1], "") if word else ""
+
+
+def _address_segments(text: str, m: re.Match) -> tuple[int, list[Segment]]:
+    """Groups of a written-out address (its beginning with the first label, then each label), and its segments."""
+    labels = list(LABEL.finditer(text, m.end(1), m.end()))
+    cue, head, out, styles = _cue(text, m.start()), m[1].lower(), [], []
+    for j, label in enumerate(labels, 1):
+        dot = label[1].lower()
+        styles.append("word" if "dot" in dot else "loose" if " " in dot else "tight")
+        last, after = label[2], text[label.end() : label.end() + 1]
+        tail = f"{'letters' if last.isalpha() else 'other'}{min(len(last), 8)}"
+        case = "upper" if last[:1].isupper() and "word" not in styles else "same"
+        f = (f"at={'round' if '(at)' in head else 'square'}", f"dots={'+'.join(sorted(set(styles)))}", f"tail={tail}", f"case={case}", f"cue={cue}", f"labels={min(j, 4)}", f"more={j < len(labels)}", f"glued={after.isalnum()}")
+        out.append((0, j + 1, "email", tuple(f"email:{x}" for x in f), m.start(), label.end()))
+    return len(labels) + 1, out
+
+
+def _segments(text: str, groups: list[tuple[int, int]], floor: int, max_groups: int = MAX_GROUPS) -> list[Segment]:
     """(first, past, kind, features, start, end) of all segments of a region that could be an entity."""
     out = []
-    before = text[max(0, floor - 24) : floor].lower()
-    word = re.findall(r"[^\W\d]+", before)
-    cue = CUE.get(word[-1], "") if word else ""
+    cue = _cue(text, floor)
     for i in range(len(groups)):
-        for j in range(i + 1, min(len(groups), i + MAX_GROUPS) + 1):
+        for j in range(i + 1, min(len(groups), i + max_groups) + 1):
             a, b = groups[i][0], groups[j - 1][1]
             while a > floor and text[a - 1] in "+(":
                 a -= 1
@@ -114,41 +140,82 @@ def _segments(text: str, groups: list[tuple[int, int]], floor: int) -> list[tupl
     return out
 
 
-def _lattice(n: int, segs: list, weight: dict[str, float]) -> list[list[tuple[int, float, object]]]:
-    """For each end, the segments that reach it: (first, score, segment); a lone group outside any entity scores 0."""
-    into: list[list[tuple[int, float, object]]] = [[] for _ in range(n + 1)]
+def regions(text: str, max_groups: int = MAX_GROUPS) -> Iterator[tuple[int, list[Segment]]]:
+    """(number of groups, segments) of every region of a text that could hold an entity."""
+    for m in REGION.finditer(text):
+        if sum(c.isdigit() for c in m[0]) >= 4:
+            groups = [g.span() for g in GROUP.finditer(text, *m.span())]
+            if segs := _segments(text, groups, m.start(), max_groups):
+                yield len(groups), segs
+    if MARK.search(text):
+        for m in SPELLED.finditer(text):
+            yield _address_segments(text, m)
+
+
+Arc = tuple[int, float, str, Segment | None]
+
+
+def _lattice(n: int, segs: list[Segment], weight: dict[str, float]) -> list[list[Arc]]:
+    """For each end, the segments that reach it: (first, score, label, segment); a lone group outside any entity scores 0."""
+    into: list[list[Arc]] = [[] for _ in range(n + 1)]
     for j in range(1, n + 1):
-        into[j].append((j - 1, 0.0, None))
+        into[j].append((j - 1, 0.0, "O", None))
     for s in segs:
-        into[s[1]].append((s[0], sum(weight.get(f, 0.0) for f in s[3]), s))
+        into[s[1]].append((s[0], sum(weight.get(f, 0.0) for f in s[3]), s[2], s))
     return into
 
 
-def decode(text: str, weight: dict[str, float]) -> list[tuple[str, int, int]]:
+def _step(weight: dict[str, float], before: str, label: str) -> float:
+    return weight.get(f"{before}>{label}", 0.0)
+
+
+def decode(text: str, weight: dict[str, float], max_groups: int = MAX_GROUPS) -> list[tuple[str, int, int]]:
     """The most likely entities of a text under the field."""
     found = []
-    for m in REGION.finditer(text):
-        if sum(c.isdigit() for c in m[0]) < 4:
-            continue
-        groups = [g.span() for g in GROUP.finditer(text, *m.span())]
-        segs = _segments(text, groups, m.start())
-        if not segs:
-            continue
-        into, best = _lattice(len(groups), segs, weight), [(0.0, None, 0)]
-        for j in range(1, len(groups) + 1):
-            best.append(max(((best[i][0] + s, seg, i) for i, s, seg in into[j]), key=lambda x: x[0]))
-        j = len(groups)
+    for n, segs in regions(text, max_groups):
+        into = _lattice(n, segs, weight)
+        best: list[dict[str, tuple]] = [{"": (0.0, None, 0, "")}]
+        for j in range(1, n + 1):
+            at: dict[str, tuple] = {}
+            for i, s, label, seg in into[j]:
+                for before, x in best[i].items():
+                    score = x[0] + s + _step(weight, before, label)
+                    if label not in at or score > at[label][0]:
+                        at[label] = (score, seg, i, before)
+            best.append(at)
+        j, label = n, max(best[n], key=lambda k: best[n][k][0])
         while j:
-            _, seg, i = best[j]
+            _, seg, i, before = best[j][label]
             if seg is not None:
                 found.append((seg[2], seg[4], seg[5]))
-            j = i
-    low = text.lower() if "at)" in text.lower() or "at]" in text.lower() else ""
-    if low:
-        found += [("email", *m.span()) for m in SPELLED.finditer(text)]
+            j, label = i, before
     return found
 
 
+def address_lines(seed: int = 13, n: int = 300) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """Labelled lines with written-out e-mail addresses, and with the same marks in other use."""
+    r = random.Random(seed)
+    names = "joe anna m.weber info sales jean-luc k_lopez office team42 press".split()
+    hosts = "example mail firma sample-shop uni posteo web intern acme".split()
+    words = "the order of was sent on page about from items total and section you can reach us".split()
+    prose = "noon home Then once school work price least That night this".split()
+    out = []
+    for _ in range(n):
+        lead = " ".join(r.choice(words) for _ in range(r.randrange(1, 5)))
+        lead += " " + r.choice(CUES["email"]) + r.choice(["", ":"]) if r.random() < 0.3 else ""
+        at, space = r.choice(["(at)", "[at]", "(AT)"]), r.choice(["", " "])
+        if r.random() < 0.55:
+            dot = r.choice([f"{space}{at[0]}dot{at[-1]}{space}", f" {at[0]}dot{at[-1]} ", "."])
+            labels = [r.choice(hosts)] + ([r.choice(hosts)] if r.random() < 0.2 else []) + [r.choice("com org net de fr es io co.uk".split()).replace(".", dot)]
+            x = f"{r.choice(names)}{space}{at}{space}{dot.join(labels)}"
+            spans, tail = [("email", len(lead) + 1, len(lead) + 1 + len(x))], r.choice(["", ".", ",", " " + r.choice(words), ". " + r.choice(prose).title() + " it was"])
+        else:
+            x = f"{r.choice(words)} {at} {r.choice(prose)}" + r.choice([f". {r.choice(prose).title()} {r.choice(words)}", f" {r.choice(words)}", f" {r.randrange(9)}.{r.randrange(10, 60)}", f" {r.randrange(9)}.50. {r.choice(prose).title()}", f".{r.choice(prose)}"])
+            spans, tail = [], r.choice(["", "."])
+        out.append((f"{lead} {x}{tail} {r.choice(words)}", spans))
+    return out
+
+
 def training_lines(seed: int = 11, n: int = 900) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """Labelled lines: phone, card and network numbers in many written forms, among other numbers that are none."""
     r = random.Random(seed)
@@ -195,16 +262,23 @@ def _log_sum(xs: list[float]) -> float:
     return m + math.log(sum(math.exp(x - m) for x in xs))
 
 
+def _path(n: int, gold: list[Segment]) -> Iterator[tuple[str, str, Segment | None]]:
+    """(label before, label, segment) along the labelled segmentation."""
+    starts, j, before = {s[0]: s for s in gold}, 0, ""
+    while j < n:
+        seg = starts.get(j)
+        label = seg[2] if seg else "O"
+        yield before, label, seg
+        j, before = (seg[1] if seg else j + 1), label
+
+
 @lru_cache(maxsize=2)
 def train(seed: int = 11, n: int = 900, epochs: int = 12, rate: float = 0.3, decay: float = 1e-4) -> dict[str, float]:
     """Weights that maximise the likelihood of the labelled lines' segmentations, by AdaGrad with forward-backward."""
     data = []
-    for text, spans in training_lines(seed, n):
+    for text, spans in training_lines(seed, n) + address_lines(seed + 2, n // 3):
         gold = set(spans)
-        for m in REGION.finditer(text):
-            groups = [g.span() for g in GROUP.finditer(text, *m.span())]
-            if segs := _segments(text, groups, m.start()):
-                data.append((len(groups), segs, [s for s in segs if (s[2], s[4], s[5]) in gold]))
+        data += [(k, segs, [s for s in segs if (s[2], s[4], s[5]) in gold]) for k, segs in regions(text)]
     weight: dict[str, float] = {}
     power: dict[str, float] = {}
     order = random.Random(seed)
@@ -212,22 +286,27 @@ def train(seed: int = 11, n: int = 900, epochs: int = 12, rate: float = 0.3, dec
         order.shuffle(data)
         for k, segs, gold in data:
             into = _lattice(k, segs, weight)
-            a = [0.0]
+            a: list[dict[str, float]] = [{"": 0.0}]
             for j in range(1, k + 1):
-                a.append(_log_sum([a[i] + s for i, s, _ in into[j]]))
-            b = [-math.inf] * k + [0.0]
-            for j in range(k, 0, -1):
-                for i, s, _ in into[j]:
-                    b[i] = _log_sum([b[i], b[j] + s]) if b[i] > -math.inf else b[j] + s
+                terms: dict[str, list[float]] = {}
+                for i, s, label, _ in into[j]:
+                    terms.setdefault(label, []).extend(x + s + _step(weight, before, label) for before, x in a[i].items())
+                a.append({label: _log_sum(xs) for label, xs in terms.items()})
+            b: list[dict[str, list[float]]] = [{} for _ in range(k)] + [{label: [0.0] for label in a[k]}]
+            done: list[dict[str, float]] = [{}] * (k + 1)
+            all_paths = _log_sum(list(a[k].values()))
             step: dict[str, float] = {}
-            for seg in gold:
-                for f in seg[3]:
+            for before, label, seg in _path(k, gold):
+                for f in (f"{before}>{label}", *(seg[3] if seg else ())):
                     step[f] = step.get(f, 0.0) + 1
-            for j in range(1, k + 1):
-                for i, s, seg in into[j]:
-                    if seg is not None:
-                        p = math.exp(a[i] + s + b[j] - a[k])
-                        for f in seg[3]:
+            for j in range(k, 0, -1):
+                done[j] = {label: _log_sum(xs) for label, xs in b[j].items()}
+                for i, s, label, seg in into[j]:
+                    for before, x in a[i].items():
+                        arc = s + _step(weight, before, label) + done[j][label]
+                        b[i].setdefault(before, []).append(arc)
+                        p = math.exp(x + arc - all_paths)
+                        for f in (f"{before}>{label}", *(seg[3] if seg else ())):
                             step[f] = step.get(f, 0.0) - p
             for f, g in step.items():
                 g -= decay * weight.get(f, 0.0)
@@ -240,17 +319,17 @@ def _ordered(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
 
 
-def all_spans(text: str, weight: dict[str, float]) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+def all_spans(text: str, weight: dict[str, float], max_groups: int = MAX_GROUPS) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base, base and added spans) of a text."""
     base = base_spans(text)
     added = []
-    for k, a, b in decode(text, weight):
+    for k, a, b in decode(text, weight, max_groups):
         if all(b <= x or y <= a for _, x, y in base) and all(b <= x or y <= a for _, x, y in added):
             added.append((k, a, b))
     return base, base + added
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: dict[str, float] | None = None) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight: dict[str, float] | None = None, max_groups: int = MAX_GROUPS) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base, spans): counts of base spans; base and spans list kind:start:end.
 
     One row per input row; null texts count as empty and give zeros and empty lists. Offsets are code points, the end
@@ -262,7 +341,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", we
         for b in batches:
             rows = []
             for t in b.column(1):
-                base, spans = all_spans(t.as_py() or "", weight)
+                base, spans = all_spans(t.as_py() or "", weight, max_groups)
                 n = [sum(k == kind for k, _, _ in base) for kind in KINDS]
                 rows.append((*n, _ordered(base), _ordered(spans)))
             cols = list(zip(*rows, strict=True)) or [()] * 6

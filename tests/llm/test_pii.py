@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.llm import pii
-from cadastra.llm.pii import all_spans, base_spans, decode, find_pii, luhn, masked, train, training_lines
+from cadastra.llm.pii import address_lines, all_spans, base_spans, decode, find_pii, luhn, masked, regions, train, training_lines
 
 
 def plain(text):
@@ -31,7 +31,7 @@ def test_base_matches_the_patterns(seed):
 
 def test_field_finds_held_out_spans():
     weight, hit, said, there = train(), 0, 0, 0
-    for text, spans in training_lines(seed=12345, n=500):
+    for text, spans in training_lines(seed=12345, n=500) + address_lines(seed=54321, n=200):
         got = decode(text, weight)
         hit, said, there = hit + len(set(got) & set(spans)), said + len(got), there + len(spans)
     assert hit / there > 0.97 and hit / said > 0.97
@@ -49,8 +49,47 @@ def test_added_spans_and_clean_text():
     assert "234" not in masked(text, spans) and masked(text, spans).count("<card>") == 2 and masked("é x", "") == "é x"
 
 
+def test_addresses_are_scored():
+    weight = train()
+    for text, want in [
+        ("mail: anna.b [at] firma [dot] de today", ["anna.b [at] firma [dot] de"]), ("k.o(at)sub(dot)web(dot)org", ["k.o(at)sub(dot)web(dot)org"]),
+        ("we were (at) home. Then it rained", []), ("look (at) noon.this", []), ("sold (at) least 3.50 each", []),
+        (f"{'a' * 100} (at) {'b' * 80} (dot) com", [f"{'a' * 100} (at) {'b' * 80} (dot) com"]),
+    ]:
+        assert [text[a:b] for _, a, b in decode(text, weight)] == want, text
+
+
+def best_by_trial(n, segs, weight):
+    """The best segmentation's score, by trying all of them."""
+    def go(j, before):
+        if j == n:
+            return 0.0
+        tries = [weight.get(f"{before}>O", 0.0) + go(j + 1, "O")]
+        for s in segs:
+            if s[0] == j:
+                tries.append(sum(weight.get(f, 0.0) for f in s[3]) + weight.get(f"{before}>{s[2]}", 0.0) + go(s[1], s[2]))
+        return max(tries)
+
+    return go(0, "")
+
+
+def test_decoding_is_the_best_of_all_segmentations():
+    weight, r = train(), random.Random(3)
+    for _ in range(150):
+        text = "x " + "".join(r.choice(["12", "345", "6789", "4111", "1111"]) + r.choice([" ", "-", ".", ") ", " ("]) for _ in range(r.randrange(2, 9))) + "7"
+        for n, segs in regions(text):
+            picked = {(s[2], s[4], s[5]): s for s in segs}
+            path, j, before, score = sorted((picked[x] for x in decode(text, weight) if x in picked), key=lambda s: s[0]), 0, "", 0.0
+            while j < n:
+                s = next((s for s in path if s[0] == j), None)
+                label = s[2] if s else "O"
+                score += weight.get(f"{before}>{label}", 0.0) + (sum(weight.get(f, 0.0) for f in s[3]) if s else 0.0)
+                j, before = (s[1] if s else j + 1), label
+            assert abs(score - best_by_trial(n, segs, weight)) < 1e-9, text
+
+
 def test_long_texts_are_linear():
-    for piece in ("a", "1", "1 ", "1.", "(", "+", "@", "a@", "+1 ", "1-", "a.b@c."):
+    for piece in ("a", "1", "1 ", "1.", "(", "+", "@", "a@", "+1 ", "1-", "a.b@c.", "a(at)", "a (at) b.", "(at) b (dot) "):
         all_spans(piece * (400_000 // len(piece)), train())
     assert luhn("4111111111111111") and not luhn("4111111111111112")
 
