@@ -15,8 +15,10 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -320,12 +322,15 @@ def _ordered(spans: list[tuple[str, int, int]]) -> str:
 
 
 def all_spans(text: str, weight: dict[str, float], max_groups: int = MAX_GROUPS) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """(base, base and added spans) of a text."""
+    """(base, base and added spans) of a text; of added spans that overlap, the first in the text stays."""
     base = base_spans(text)
-    added = []
-    for k, a, b in decode(text, weight, max_groups):
-        if all(b <= x or y <= a for _, x, y in base) and all(b <= x or y <= a for _, x, y in added):
+    ordered = sorted(base, key=lambda s: s[1])
+    starts, reach = [s[1] for s in ordered], list(accumulate((s[2] for s in ordered), max, initial=0))
+    added, floor = [], 0
+    for k, a, b in sorted(decode(text, weight, max_groups), key=lambda s: s[1]):
+        if a >= floor and reach[bisect_left(starts, b)] <= a:
             added.append((k, a, b))
+            floor = b
     return base, base + added
 
 
