@@ -26,22 +26,20 @@ def q16_centroid_anchor(spark, d):
     )
 
 
-def _anchors(p: DataFrame) -> DataFrame:
-    return p.where("vec_id % 10 = 0").select(F.lit(0).alias("scope"), F.col("vec_id").alias("anchor_id"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.lit(300.0).alias("radius"))
-
-
-def _targets(p: DataFrame) -> DataFrame:
-    return p.where("vec_id % 10 <> 0").select(F.lit(0).alias("scope"), F.col("vec_id").alias("point_id"), F.col("x").alias("px"), F.col("y").alias("py"))
+def _within(spark, d) -> DataFrame:
+    """Every point with every other point within 300 m."""
+    p = points(spark, d).withColumn("scope", F.lit(0))
+    anchors = p.select("scope", F.col("vec_id").alias("anchor_id"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.lit(300.0).alias("radius"))
+    others = p.select("scope", F.col("vec_id").alias("point_id"), F.col("x").alias("px"), F.col("y").alias("py"))
+    return ops.radius_join(anchors, others, 300.0).where("anchor_id <> point_id")
 
 
 def q17_nearest_or_abstain(spark, d):
-    p = points(spark, d)
-    return ops.nearest_or_abstain(ops.radius_join(_anchors(p), _targets(p), 300.0), 25.0).select("anchor_id", "point_id", F.round("dist", 3).alias("dist"))
+    return ops.nearest_or_abstain(_within(spark, d), 25.0).select("anchor_id", "point_id", F.round("dist", 3).alias("dist"))
 
 
 def q18_radius_join(spark, d):
-    p = points(spark, d)
-    return ops.radius_join(_anchors(p), _targets(p), 300.0).groupBy("anchor_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("dist"), 3).alias("far"))
+    return _within(spark, d).groupBy("anchor_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("dist"), 3).alias("far"))
 
 
 def q44_utm_roundtrip(spark, d):
@@ -55,7 +53,7 @@ def q44_utm_roundtrip(spark, d):
 
 def _boxes(p: DataFrame) -> DataFrame:
     half = 150 + F.col("vec_id") % 7 * 20
-    b = p.where("vec_id % 25 = 0").select(
+    b = p.select(
         F.col("vec_id").alias("polygon_id"), "label", (F.col("x") - half).alias("x0"), (F.col("x") + half).alias("x1"), (F.col("y") - half).alias("y0"), (F.col("y") + half).alias("y1")
     )
     v = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
@@ -74,14 +72,14 @@ def q46_shoelace(spark, d):
 
 def _overlaps(spark, d) -> DataFrame:
     b = _boxes(points(spark, d))
-    a, c = b.where("polygon_id % 2 = 0"), b.where("polygon_id % 2 = 1")
+    a = c = b
     span = lambda lo, hi: F.explode(F.sequence(geo.cell(F.col(lo), 500), geo.cell(F.col(hi), 500)))
     grid = lambda df: df.withColumn("gx", span("x0", "x1")).withColumn("gy", span("y0", "y1"))
-    c = c.select([F.col(n).alias(f"{n}_2") for n in ("polygon_id", "x0", "x1", "y0", "y1")])
+    c = c.select([F.col(n).alias(f"{n}_2") for n in ("polygon_id", "label", "x0", "x1", "y0", "y1")])
     g2 = c.withColumn("gx", span("x0_2", "x1_2")).withColumn("gy", span("y0_2", "y1_2"))
     area = geo.box_overlap(*map(F.col, ("x0", "x1", "x0_2", "x1_2"))) * geo.box_overlap(*map(F.col, ("y0", "y1", "y0_2", "y1_2")))
     size = lambda s: (F.col(f"x1{s}") - F.col(f"x0{s}")) * (F.col(f"y1{s}") - F.col(f"y0{s}"))
-    met = grid(a).join(g2, ["gx", "gy"]).drop("gx", "gy").distinct().withColumn("overlap", area).where("overlap > 0")
+    met = grid(a).drop("ring").join(g2, ["gx", "gy"]).where("polygon_id < polygon_id_2").drop("gx", "gy").distinct().withColumn("overlap", area).where("overlap > 0")
     return met.withColumn("iou", F.col("overlap") / (size("") + size("_2") - F.col("overlap")))
 
 
@@ -95,7 +93,8 @@ def q48_voronoi_area(spark, d):
 
 
 def q49_greedy_matching(spark, d):
-    pairs = _overlaps(spark, d).select(F.lit(0).cast("long").alias("scope"), F.col("polygon_id").alias("left"), F.col("polygon_id_2").alias("right"), "overlap")
+    """Greedy matching of overlapping boxes of one label."""
+    pairs = _overlaps(spark, d).where("label = label_2").select(F.col("label").cast("long").alias("scope"), F.col("polygon_id").alias("left"), F.col("polygon_id_2").alias("right"), "overlap")
     return ops.greedy_matching(pairs).select("left", "right", F.round("overlap", 3).alias("overlap"))
 
 
@@ -103,9 +102,9 @@ QUERIES = {k: v for k, v in globals().items() if k.startswith("q") and callable(
 
 P = "WITH p AS (SELECT vec_id, label, round(embedding[1]::DOUBLE * 10000, 3) AS x, round(embedding[2]::DOUBLE * 10000, 3) AS y FROM embeddings)"
 PAIRS = P + """, m AS (SELECT a.vec_id AS anchor_id, b.vec_id AS point_id, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS dist
-  FROM p a, p b WHERE a.vec_id % 10 = 0 AND b.vec_id % 10 <> 0 AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 300)"""
+  FROM p a, p b WHERE a.vec_id <> b.vec_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 300)"""
 BOXES = P + """, b AS (SELECT vec_id AS polygon_id, x - (150 + vec_id % 7 * 20) AS x0, x + (150 + vec_id % 7 * 20) AS x1,
-  y - (150 + vec_id % 7 * 20) AS y0, y + (150 + vec_id % 7 * 20) AS y1 FROM p WHERE vec_id % 25 = 0)"""
+  y - (150 + vec_id % 7 * 20) AS y0, y + (150 + vec_id % 7 * 20) AS y1 FROM p)"""
 
 ORACLE_SQL = {
     "q16_centroid_anchor": P + """, c AS (SELECT label, avg(x) AS cx, avg(y) AS cy FROM p GROUP BY 1)
@@ -118,6 +117,6 @@ SELECT anchor_id, CASE WHEN nxt IS NULL OR nxt - dist > 25 THEN point_id END AS
     "q45_points_in_polygons": BOXES + "SELECT polygon_id, count(*) AS n, sum(vec_id)::BIGINT AS total FROM b JOIN p ON x >= x0 AND x < x1 AND y >= y0 AND y < y1 GROUP BY 1",
     "q46_shoelace": BOXES + "SELECT polygon_id, round((x1 - x0) * (y1 - y0), 2) AS area FROM b",
     "q47_box_iou": BOXES + """, m AS (SELECT a.polygon_id AS a, c.polygon_id AS b, greatest(least(a.x1, c.x1) - greatest(a.x0, c.x0), 0) * greatest(least(a.y1, c.y1) - greatest(a.y0, c.y0), 0) AS o,
-  (a.x1 - a.x0) * (a.y1 - a.y0) + (c.x1 - c.x0) * (c.y1 - c.y0) AS s FROM b a, b c WHERE a.polygon_id % 2 = 0 AND c.polygon_id % 2 = 1)
+  (a.x1 - a.x0) * (a.y1 - a.y0) + (c.x1 - c.x0) * (c.y1 - c.y0) AS s FROM b a, b c WHERE a.polygon_id < c.polygon_id)
 SELECT a, b, round(o / (s - o), 6) AS iou FROM m WHERE o > 0""",
 }

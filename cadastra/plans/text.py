@@ -106,8 +106,46 @@ def q36_parse_coverage(spark, d):
 
 
 def q37_html_rows(spark, d):
-    """Data rows of the tables in web pages."""
-    return html_rows(_read(spark, d, "pages"), "page_id", "html")
+    """Data rows of tables written from customers: closing tags left out, a header row, a nested table, a missing number."""
+    c = _read(spark, d, "customer")
+    html = F.concat(
+        F.lit("<p>x</p><table><tr><td>НАЗИВ ГЛАСАЧКОГ МЕСТА<td>a<td>b<td>c<tr><td>"), F.col("c_custkey").cast("string"), F.lit(".</td><td>"), F.col("c_name"),
+        F.lit("</td><td>"), F.col("c_mktsegment"), F.lit("<br>1</td><td>"), F.col("c_nationkey").cast("string"),
+        F.lit("<td>x <table><tr><td>in<td>ner</table></tr><tr><td></td><td>Дом<td>A &amp; B<td>y</td></tr><tr><td>1<td><td>z<td>w</table>"),
+    )
+    return html_rows(c.withColumn("html", html), "c_custkey", "html")
+
+
+def q70_coverage_templates(spark, d):
+    """Four ways to write coverage: slashes, word forms, labelled parts, directives in parentheses."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    n = lambda x, m: (x % m + 1).cast("string")
+    clause = (
+        F.when(k % 4 == 0, F.concat(F.lit("Прва "), n(k, 90), F.lit("/"), n(c, 9), F.lit(", Друга "), n(c, 50), F.lit("а")))
+        .when(k % 4 == 1, F.concat(F.lit("Прва парнога, Друга непарни од "), n(k, 90), F.lit(" до "), n(c, 90)))
+        .when(k % 4 == 2, F.concat(F.lit("Насеље: Брдо Улица: Прва бројеви "), n(k, 90), F.lit(", "), n(c, 50), F.lit("-200; Улица: Друга бб")))
+        .otherwise(F.concat(F.lit("Прва (од броја "), n(k, 90), F.lit(" до краја парна), Трг Правде17")))
+    )
+    rows = _read(spark, d, "orders").select("o_orderkey", F.posexplode(grammar.coverage_segments(clause)).alias("at", "s"))
+    iv, one = F.get("s.intervals", F.lit(0)), F.get("s.singles", F.lit(0))
+    return rows.select(
+        "o_orderkey", "at", F.col("s.settlement_raw").alias("settlement"), F.col("s.street_raw").alias("street"), F.col("s.kind").alias("kind"),
+        iv["lo"].alias("lo"), iv["hi"].alias("hi"), iv["parity"].alias("parity"), one["num"].alias("num"), one["suffix"].alias("suffix"),
+        F.col("s.bez_broja").alias("bb"),
+    )
+
+
+def q71_bullets(spark, d):
+    """Amendment bullets written from orders, read back."""
+    k = F.col("o_orderkey")
+    n = lambda x, m: (x % m + 1).cast("string")
+    text = (
+        F.when(k % 4 == 0, F.concat(F.lit("назив улице „"), F.col("o_orderpriority"), F.lit("“ се исправља и  гласи: „Нова “")))
+        .when(k % 4 == 1, F.concat(F.lit("у улици Прва распон кућних бројева од 1-"), n(k, 90), F.lit(" мења се и гласи \"1-"), n(k, 99), F.lit("\"")))
+        .when(k % 4 == 2, F.concat(F.lit("у улици Друга после кућног броја "), n(k, 90), F.lit(" додаје се кућни број "), n(k, 90), F.lit("а.")))
+        .otherwise(F.lit("остало"))
+    )
+    return _read(spark, d, "orders").select("o_orderkey", grammar.bullet_ops(text).alias("b")).select("o_orderkey", "b.*")
 
 
 def q50_collation_rank(spark, d):
@@ -146,6 +184,30 @@ WHERE list_has_all(string_split(q.p_name, ' '), string_split(p.p_name, ' ')) GRO
 SELECT o_orderkey, 'Прва' AS street, lo, hi, CASE WHEN lo % 2 = 1 THEN 'odd' ELSE 'even' END AS parity, false AS whole, false AS bb FROM o
 UNION ALL SELECT o_orderkey, 'Друга', c, 100000, CASE WHEN c % 2 = 1 THEN 'odd' ELSE 'even' END, false, false FROM o
 UNION ALL SELECT o_orderkey, 'Трећа', NULL, NULL, NULL, false, true FROM o UNION ALL SELECT o_orderkey, 'Четврта', NULL, NULL, NULL, true, false FROM o""",
+    "q35_ladder": """WITH p AS (SELECT p_partkey % 5 AS c, upper(p_name) AS nm, p_size % 8 AS s FROM part), reg AS (SELECT DISTINCT nm, s FROM p),
+one AS (SELECT DISTINCT nm, s, left(nm, 1) || ' ' || split_part(nm, ' ', 2) AS q FROM p WHERE c = 1),
+near AS (SELECT one.q, one.s, count(DISTINCT CASE WHEN split_part(reg.nm, ' ', 1) LIKE left(q, 1) || '%' AND split_part(reg.nm, ' ', 2) = split_part(q, ' ', 2) THEN reg.nm END) AS initials,
+  max(CASE WHEN length(reg.nm) >= 1.5 * length(q) THEN CASE WHEN contains(reg.nm, q) THEN 90.0 ELSE 0.0 END
+    WHEN split_part(reg.nm, ' ', 2) = split_part(q, ' ', 2) THEN 200.0 * (length(q) - 1 + contains(split_part(reg.nm, ' ', 1), left(q, 1))::INT) / (length(q) + length(reg.nm)) ELSE 0.0 END) AS best
+  FROM (SELECT DISTINCT q, s FROM one) one JOIN reg ON reg.s = one.s GROUP BY 1, 2),
+m AS (SELECT CASE c WHEN 2 THEN 'fuzzy' WHEN 3 THEN 'settlement' WHEN 1 THEN CASE WHEN best >= 90 THEN 'fuzzy' WHEN initials = 1 THEN 'abbrev' ELSE 'none' END ELSE 'exact' END AS method
+  FROM p LEFT JOIN near ON c = 1 AND near.s = p.s AND near.q = left(nm, 1) || ' ' || split_part(nm, ' ', 2))
+SELECT method, count(*) AS n FROM m GROUP BY 1""",
+    "q37_html_rows": """SELECT c_custkey, 0 AS pos, c_custkey::BIGINT AS number, c_name AS name, c_mktsegment || ' 1' AS address, c_nationkey || ' x inner' AS coverage FROM customer
+UNION ALL SELECT c_custkey, 1, 2, 'Дом', 'A & B', 'y' FROM customer""",
+    "q70_coverage_templates": """WITH o AS (SELECT o_orderkey, o_orderkey % 4 AS t, o_orderkey % 90 + 1 AS a, o_custkey % 9 + 1 AS x, o_custkey % 50 + 1 AS c, o_custkey % 90 + 1 AS e FROM orders),
+r AS (SELECT o_orderkey, 0 AS at, '' AS settlement, 'Прва' AS street, 'street_numbers' AS kind, NULL::BIGINT AS lo, NULL::BIGINT AS hi, NULL AS parity, a::BIGINT AS num, x::VARCHAR AS suffix, false AS bb FROM o WHERE t = 0
+UNION ALL SELECT o_orderkey, 1, '', 'Друга', 'street_numbers', NULL, NULL, NULL, c, 'А', false FROM o WHERE t = 0
+UNION ALL SELECT o_orderkey, 0, '', 'Прва', 'street_numbers', 2, 100000, 'even', NULL, NULL, false FROM o WHERE t = 1
+UNION ALL SELECT o_orderkey, 1, '', 'Друга', 'street_numbers', a, e, 'odd', NULL, NULL, false FROM o WHERE t = 1
+UNION ALL SELECT o_orderkey, 0, 'Брдо', 'Прва', 'street_numbers', c, 200, CASE WHEN c % 2 = 0 THEN 'even' ELSE 'all' END, a, '', false FROM o WHERE t = 2
+UNION ALL SELECT o_orderkey, 1, 'Брдо', 'Друга', 'whole_street', NULL, NULL, NULL, NULL, NULL, true FROM o WHERE t = 2
+UNION ALL SELECT o_orderkey, 0, '', 'Прва', 'street_numbers', a, 100000, 'even', NULL, NULL, false FROM o WHERE t = 3
+UNION ALL SELECT o_orderkey, 1, '', 'Трг Правде', 'street_numbers', NULL, NULL, NULL, 17, '', false FROM o WHERE t = 3) SELECT * FROM r""",
+    "q71_bullets": """SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'fix_street_name' WHEN 1 THEN 'replace_range' WHEN 2 THEN 'add_house' END AS op,
+CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority WHEN 1 THEN 'Прва' WHEN 2 THEN 'Друга' END AS street,
+CASE o_orderkey % 4 WHEN 0 THEN o_orderpriority WHEN 1 THEN '1-' || (o_orderkey % 90 + 1) WHEN 2 THEN (o_orderkey % 90 + 1)::VARCHAR END AS old,
+CASE o_orderkey % 4 WHEN 0 THEN 'Нова' WHEN 1 THEN '1-' || (o_orderkey % 99 + 1) WHEN 2 THEN (o_orderkey % 90 + 1) || 'а' END AS new FROM orders""",
     "q50_collation_rank": "SELECT n_nationkey, row_number() OVER (ORDER BY replace(n_name, '_', ' '))::INT AS place FROM nation",
     "q68_slugs": """SELECT p_partkey, trim(regexp_replace(lower(p_type) || ' c / ' || lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug, 'Lj ' || p_name AS latin FROM part""",
     "q69_escapes": """SELECT c_custkey, '''' || c_name || '''''<&>''' AS literal, c_name || '&apos;&lt;&amp;&gt;' AS xml FROM customer""",

@@ -40,6 +40,8 @@ def test_logs_and_features(spark, tmp_path):
 def test_html_rows():
     html = "<table><tr><td>НАЗИВ ГЛАСАЧКОГ МЕСТА</td><td>a</td><td>b</td><td>c</td></tr><tr><td>3.</td><td>Школа</td><td>Прва<br>1</td><td>А</td><td>Б</td></tr><tr><td></td><td>Дом</td><td>x</td><td>y</td></tr><tr><td>1</td><td></td><td>x</td><td>y</td></tr></table>"
     assert readers.table_rows(html) == [{"number": 3, "name": "Школа", "address": "Прва 1", "coverage": "А Б"}, {"number": 2, "name": "Дом", "address": "x", "coverage": "y"}]
+    loose = "<table><tr><td>5<td>Дом<td>Трг<td>А<tr><td>6<td>Школа<td>Трг 2<td><table><tr><td>у<td>нутра</table>Б"
+    assert [(r["number"], r["name"], r["coverage"]) for r in readers.table_rows(loose)] == [(5, "Дом", "А"), (6, "Школа", "унутраБ")]
     assert readers.table_rows(None) == []
 
 
