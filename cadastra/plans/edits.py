@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cadastra.functions import predicates
+from cadastra.functions.grammar import NUMBER_LISTS
+from cadastra.functions.house import interval_parity
 from cadastra.operators import edits as ops
+from cadastra.sources.sinks import update_statements
 
 
 def _read(spark, d, name):
@@ -84,15 +88,47 @@ def q66_strip_reason(spark, d):
 
 
 def q67_amendments(spark, d):
-    """Ordered operations folded over the segments of each station."""
-    rows = _read(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
-    segs = rows.select(F.col("l_suppkey").alias("station_id"), F.col("l_linenumber").cast("long").alias("seg_id"), F.concat(F.lit("S"), F.col("l_linenumber").cast("string")).alias("street"), F.array("p").alias("singles"))
-    o = _read(spark, d, "orders").select(
-        (F.col("o_orderkey") % 1000).alias("station_id"), F.col("o_orderkey").alias("ordinal"), F.when(F.col("o_orderkey") % 2 == 0, "rename").otherwise("add_house").alias("op"),
-        F.concat(F.lit("S"), (F.col("o_custkey") % 9).cast("string")).alias("street"), F.concat(F.lit("S"), (F.col("o_custkey") % 9).cast("string")).alias("old"),
-        F.col("o_custkey").cast("string").alias("new"),
+    """A renamed street, a replaced range, a number added under the new name, and one for a street that is not there."""
+    n = F.col("l_linenumber").cast("long")
+    lines = _read(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    whole = f"struct<{NUMBER_LISTS}>"
+    interval = F.struct(n.alias("lo"), (n + 10).alias("hi"), interval_parity(n, n + 10).alias("parity"), F.lit("").alias("lo_sfx"), F.lit("").alias("hi_sfx"))
+    coverage = F.struct(F.array(interval).alias("intervals"), F.array(F.struct(F.col("p").alias("num"), F.lit("").alias("suffix"))).alias("singles")).cast(whole)
+    segs = lines.select(F.col("l_suppkey").alias("station_id"), n.alias("seg_id"), F.concat(F.lit("Пут S"), n.cast("string")).alias("street"), coverage.alias("c"))
+    segs = segs.select("station_id", "seg_id", "street", "c.*", F.lit(False).alias("whole"))
+    op = lambda doc, bullet, *rest: F.struct(*[F.lit(x).alias(c) for c, x in zip(("doc", "bullet", "op", "street", "old", "new"), (doc, bullet, *rest), strict=True)])
+    asked = F.array(
+        op(2, 1, "add_house", "Нови", "", "5а"), op(1, 1, "fix_street_name", "Пут S1", "Пут S1", "Нови пут"),
+        op(1, 2, "replace_range", "Пут S2", "2-12, 999999", "2-8, 11 и 13"), op(3, 1, "add_house", "Ливаде", "", "7"), op(3, 2, "other", "Пут S3", "", ""),
+    )
+    ops_ = lines.select(F.col("l_suppkey").alias("station_id")).distinct().select("station_id", F.explode(asked).alias("o")).select("station_id", "o.*")
+    text = lambda c, f: F.array_join(F.transform(c, f), ",")
+    return ops.apply_amendments(segs, ops_).select(
+        "station_id", "seg_id", "street", text("intervals", lambda i: F.concat(i["lo"].cast("string"), F.lit("-"), i["hi"].cast("string"))).alias("intervals"),
+        text("singles", lambda x: F.concat(x["num"].cast("string"), x["suffix"])).alias("singles"), "amended",
+    )
+
+
+def q72_predicates(spark, d):
+    """Coverage, weak matches, causes, JSON with a default and value differences on orders."""
+    o = _read(spark, d, "orders")
+    k, price = F.col("o_orderkey"), F.col("o_totalprice").cast("double")
+    some = lambda m: F.when(k % m == 0, F.array(k)).otherwise(F.array().cast("array<bigint>"))
+    fuzzy, name = F.when(k % 2 == 0, "fuzzy").otherwise("exact"), F.when(k % 3 == 0, F.lit("БРДО")).otherwise(F.lit("НОВО БРДО"))
+    share = lambda m: (k % m).cast("double") / m
+    made = F.when(k % 3 == 0, F.concat(F.lit('{"lo":'), k.cast("string"), F.lit("}"))).when(k % 3 == 1, F.lit("{lo:")).otherwise(F.lit(None).cast("string"))
+    return o.select(
+        "o_orderkey", predicates.has_coverage(k % 5 == 0, some(7), some(11), F.lit(None)).alias("covers"),
+        predicates.weak_substring(fuzzy, name, F.lit("ГОРЊЕ БРДО")).alias("weak"),
+        predicates.cause(share(10), share(7) * 2, share(3) + 0.1, share(4) + 0.1, price % 800).alias("cause"),
+        predicates.json_or(made, "struct<lo:bigint>", F.struct(F.lit(-1).cast("long").alias("lo")))["lo"].alias("lo"),
+        F.array_join(F.transform(predicates.without_values(F.array(k % 4, k % 3, k % 4, F.lit(9)), F.array(F.lit(1).cast("long"), k % 2)), lambda x: x.cast("string")), ",").alias("left_over"),
+        predicates.iso_utc(F.timestamp_seconds(k)).alias("stamp"),
     )
-    return ops.apply_amendments(segs, o).select("station_id", "seg_id", "street", F.array_join(F.transform("singles", lambda x: x.cast("string")), ",").alias("singles"))
+
+
+def q73_update_statements(spark, d):
+    return update_statements(_read(spark, d, "nation"), "nation", "n_nationkey", ["n_name", "n_regionkey"])
 
 
 QUERIES = {k: v for k, v in globals().items() if k.startswith("q") and callable(v)}
@@ -101,6 +137,17 @@ V = """WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM
 new AS (SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) FROM o WHERE o_orderkey % 13 <> 0)"""
 
 ORACLE_SQL = {
+    "q67_amendments": """WITH l AS (SELECT l_suppkey AS s, l_linenumber::BIGINT AS n, min(l_partkey) AS p FROM lineitem GROUP BY 1, 2),
+r AS (SELECT s AS station_id, n AS seg_id, CASE WHEN n = 1 THEN 'Нови пут' ELSE 'Пут S' || n END AS street, CASE WHEN n = 2 THEN '2-8' ELSE n || '-' || (n + 10) END AS intervals,
+  p || CASE WHEN n = 1 THEN ',5А' WHEN n = 2 THEN ',11,13' ELSE '' END AS singles, n <= 2 AS amended FROM l)
+SELECT * FROM r UNION ALL SELECT s, max(n) + 1, 'Ливаде', '', '7', true FROM l GROUP BY s""",
+    "q72_predicates": """SELECT o_orderkey, o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 AS covers, o_orderkey % 6 = 0 AS weak,
+CASE WHEN o_orderkey % 3 / 3 + 0.1::DOUBLE >= 0.7 AND o_orderkey % 7 / 7 * 2 < 0.6 THEN 'ours_much_smaller' WHEN o_orderkey % 4 / 4 + 0.1::DOUBLE >= 0.7 AND o_orderkey % 7 / 7 * 2 > 1.6 THEN 'ours_much_larger'
+  WHEN o_totalprice::DOUBLE % 800 > 400 THEN 'centres_apart' WHEN o_orderkey % 10 / 10 < 0.2 THEN 'little_shared' ELSE 'partial_shift' END AS cause,
+CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey ELSE -1 END AS lo,
+array_to_string([x FOR x IN [o_orderkey % 4, o_orderkey % 3, o_orderkey % 4, 9] IF x <> 1 AND x <> o_orderkey % 2], ',') AS left_over,
+strftime(make_timestamp(o_orderkey * 1000000), '%Y-%m-%dT%H:%M:%S+00:00') AS stamp FROM orders""",
+    "q73_update_statements": "SELECT n_nationkey, 'UPDATE nation SET n_name=''' || n_name || ''', n_regionkey=' || n_regionkey || ' WHERE n_nationkey=' || n_nationkey || ';' AS statement FROM nation",
     "q38_delta_actions": V + """ SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS action
 FROM old a FULL JOIN new b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice""",
     "q39_scoped_merge": V + """ SELECT o_orderkey, o_custkey, o_totalprice FROM old WHERE o_custkey % 5 <> 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer)

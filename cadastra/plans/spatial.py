@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions import geo
+from cadastra.operators import polygons
 from cadastra.operators import spatial as ops
 
 
@@ -98,6 +99,35 @@ def q49_greedy_matching(spark, d):
     return ops.greedy_matching(pairs).select("left", "right", F.round("overlap", 3).alias("overlap"))
 
 
+def q74_overlap_measures(spark, d):
+    """Overlap measures of the boxes that meet, by the polygon clipper."""
+    b = _boxes(points(spark, d)).select("polygon_id", "ring")
+    pairs = _overlaps(spark, d).select(F.col("polygon_id").alias("a"), F.col("polygon_id_2").alias("b"))
+    met = pairs.join(b.withColumnRenamed("polygon_id", "a"), "a").join(b.withColumnsRenamed({"polygon_id": "b", "ring": "ring2"}), "b")
+    found = polygons.overlap_measures(met)
+    return found.select("a", "b", *[F.round(F.col(c) + 1e-7, 4).alias(c) for c in ("overlap", "cover", "cover2", "ratio", "apart")])
+
+
+def q75_wkt_boundaries(spark, d):
+    """Boundaries from well-known text: boxes with a hole, and rows that are no polygons."""
+    b = _boxes(points(spark, d))
+    pair = lambda *xy: F.concat_ws(" ", *[F.format_string("%.3f", F.col(c) + e) for c, e in xy])
+    ring = lambda e: F.concat_ws(", ", *[pair((x, e * sx), (y, e * sy)) for x, y, sx, sy in (("x0", "y0", 1, 1), ("x1", "y0", -1, 1), ("x1", "y1", -1, -1), ("x0", "y1", 1, -1), ("x0", "y0", 1, 1))])
+    text = F.when(F.col("polygon_id") % 3 == 0, F.concat(F.lit("POLYGON (("), ring(0.0), F.lit("), ("), ring(50.0), F.lit("))"))).when(
+        F.col("polygon_id") % 3 == 1, F.concat(F.lit("MULTIPOLYGON((("), ring(0.0), F.lit(")))"))
+    ).otherwise(F.lit("POLYGON ((1 2, 3"))
+    read = polygons.read_wkt(b.withColumn("wkt", text), "polygon_id", "wkt")
+    return read.select("polygon_id", F.size("rings").alias("rings"), F.round(F.aggregate("rings", F.lit(0.0), lambda s, r: s + F.abs(geo.signed_area(r))), 1).alias("area"))
+
+
+def q76_dissolve(spark, d):
+    """Grid squares that hold a point, dissolved by label."""
+    p = points(spark, d).select("label", geo.cell(F.col("x"), 500).alias("i"), geo.cell(F.col("y"), 500).alias("j")).distinct()
+    at = lambda c, n: ((F.col(c) + n) * 500).cast("double")
+    ring = F.array(*[F.struct(at("i", a).alias("x"), at("j", b).alias("y")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))])
+    return polygons.dissolved(p.select("label", ring.alias("ring")), "label").select("label", F.round("area", 1).alias("area"), F.round("perimeter", 1).alias("perimeter"))
+
+
 QUERIES = {k: v for k, v in globals().items() if k.startswith("q") and callable(v)}
 
 P = "WITH p AS (SELECT vec_id, label, round(embedding[1]::DOUBLE * 10000, 3) AS x, round(embedding[2]::DOUBLE * 10000, 3) AS y FROM embeddings)"
@@ -115,6 +145,14 @@ SELECT anchor_id, CASE WHEN nxt IS NULL OR nxt - dist > 25 THEN point_id END AS
     "q18_radius_join": PAIRS + "SELECT anchor_id, count(*) AS n, round(max(dist), 3) AS far FROM m GROUP BY 1",
     "q44_utm_roundtrip": P + "SELECT vec_id, round(44.0 + round(x / 4000, 4), 6) AS lat, round(21.0 + round(y / 4000, 4), 6) AS lon FROM p",
     "q45_points_in_polygons": BOXES + "SELECT polygon_id, count(*) AS n, sum(vec_id)::BIGINT AS total FROM b JOIN p ON x >= x0 AND x < x1 AND y >= y0 AND y < y1 GROUP BY 1",
+    "q74_overlap_measures": BOXES + """, m AS (SELECT a.polygon_id AS a, c.polygon_id AS b, greatest(least(a.x1, c.x1) - greatest(a.x0, c.x0), 0) * greatest(least(a.y1, c.y1) - greatest(a.y0, c.y0), 0) AS o,
+  (a.x1 - a.x0) * (a.y1 - a.y0) AS s1, (c.x1 - c.x0) * (c.y1 - c.y0) AS s2, a.x0 + a.x1 - c.x0 - c.x1 AS dx, a.y0 + a.y1 - c.y0 - c.y1 AS dy FROM b a, b c WHERE a.polygon_id < c.polygon_id)
+SELECT a, b, round(o + 1e-7, 4) AS overlap, round(o / s1 + 1e-7, 4) AS cover, round(o / s2 + 1e-7, 4) AS cover2, round(s1 / s2 + 1e-7, 4) AS ratio, round(sqrt(dx * dx + dy * dy) / 2 + 1e-7, 4) AS apart FROM m WHERE o > 0""",
+    "q75_wkt_boundaries": BOXES + """SELECT polygon_id, CASE WHEN polygon_id % 3 = 0 THEN 2 ELSE 1 END::INT AS rings,
+  round((x1 - x0) * (y1 - y0) + CASE WHEN polygon_id % 3 = 0 THEN (x1 - x0 - 100) * (y1 - y0 - 100) ELSE 0 END, 1) AS area FROM b WHERE polygon_id % 3 <> 2""",
+    "q76_dissolve": P + """, c AS (SELECT DISTINCT label, floor(x / 500)::BIGINT AS i, floor(y / 500)::BIGINT AS j FROM p),
+n AS (SELECT label, i, j, (SELECT count(*) FROM c o WHERE o.label = c.label AND abs(o.i - c.i) + abs(o.j - c.j) = 1) AS near FROM c)
+SELECT label, count(*) * 250000.0::DOUBLE AS area, sum(4 - near) * 500.0::DOUBLE AS perimeter FROM n GROUP BY 1""",
     "q46_shoelace": BOXES + "SELECT polygon_id, round((x1 - x0) * (y1 - y0), 2) AS area FROM b",
     "q47_box_iou": BOXES + """, m AS (SELECT a.polygon_id AS a, c.polygon_id AS b, greatest(least(a.x1, c.x1) - greatest(a.x0, c.x0), 0) * greatest(least(a.y1, c.y1) - greatest(a.y0, c.y0), 0) AS o,
   (a.x1 - a.x0) * (a.y1 - a.y0) + (c.x1 - c.x0) * (c.y1 - c.y0) AS s FROM b a, b c WHERE a.polygon_id < c.polygon_id)

@@ -116,3 +116,10 @@ def split_statements(lines: DataFrame, marker: str = "-- CHUNK") -> DataFrame:
     """lines(scope, line_no, line) -> (scope, chunk, line_no, line) with a new chunk at each marker line."""
     w = Window.partitionBy("scope").orderBy("line_no")
     return lines.withColumn("chunk", F.sum(F.col("line").startswith(marker).cast("int")).over(w))
+
+
+def update_statements(df: DataFrame, table: str, key: str, columns: list[str]) -> DataFrame:
+    """(key, statement): one UPDATE of some columns a row, for tables whose rows others point to and that cannot be reloaded."""
+    sets = [F.concat(F.lit(f"{c}="), sql_literal(F.col(c), dict(df.dtypes)[c] == "string")) for c in columns]
+    where = F.concat(F.lit(f" WHERE {key}="), sql_literal(F.col(key), dict(df.dtypes)[key] == "string"), F.lit(";"))
+    return df.select(key, F.concat(F.lit(f"UPDATE {table} SET "), F.concat_ws(", ", *sets), where).alias("statement"))
