@@ -12,8 +12,7 @@ windows with one minimiser form a super-k-mer and travel as one packed string.
    super-k-mers is dealt by whole windows instead, so no bucket in memory exceeds HOT strings of bounded length.
 4. Bring the flags back to their documents and cut the words.
 
-Documents are told apart by 96 bits of hashes of id and text, null ids and different texts of one id included; repeated rows
-need no number of their own: each counts as a document, and all get the same flags. Texts are shuffled compressed.
+Documents are told apart by id and 64 bits of their text (128 bits where the id is null); repeated rows need no number of their own: each counts as a document, and all get the same flags. Texts are shuffled compressed.
 """
 
 from __future__ import annotations
@@ -86,8 +85,9 @@ def super_kmers(h: np.ndarray, window: int, mer: int) -> tuple[np.ndarray, np.nd
 
 
 def _keys(docs: DataFrame, id_col: str, text_col: str) -> list:
-    """96 bits that stand for a row's id and text, of two hash functions."""
-    return [F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)).alias("k1"), F.hash(F.col(text_col)).alias("k2")]
+    """The id (a hash of the text where it is null, ids next to each other pack well) and 64 more bits of the text."""
+    text = F.col(text_col)
+    return [F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.lit(1), text)).alias("k1"), F.xxhash64(text).alias("k2")]
 
 
 def _batch(names: list[str], rows: list[tuple], kinds: list) -> pa.RecordBatch:
@@ -115,7 +115,7 @@ def _minimisers(keyed: DataFrame, window: int, mer: int) -> DataFrame:
                 cols = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
                 yield pa.RecordBatch.from_arrays(cols, names=["mini", "k1", "k2", "ord", "places"])
 
-    return keyed.mapInArrow(run, "mini long, k1 long, k2 int, ord int, places int")
+    return keyed.mapInArrow(run, "mini long, k1 long, k2 long, ord int, places int")
 
 
 def _blobs(keyed: DataFrame) -> DataFrame:
@@ -131,8 +131,8 @@ def _blobs(keyed: DataFrame) -> DataFrame:
     return keyed.mapInArrow(run, schema)
 
 
-TRAVEL = "key long, pk binary, packed binary, k1 long, k2 int, start int, n int, done boolean"
-TRAVEL_TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+TRAVEL = "key long, pk binary, packed binary, k1 long, k2 long, start int, n int, done boolean"
+TRAVEL_TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
 
 
 def _packed(listed: DataFrame, window: int, mer: int) -> DataFrame:
@@ -205,7 +205,7 @@ def _flag_bucket(rows: list[tuple], window: int) -> Iterator[tuple[int, int, int
 
 def _flags(travel: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["k1", "k2", "start", "flags"], [pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+        names, kinds = ["k1", "k2", "start", "flags"], [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
         key, held, out = None, [], []
         for b in batches:
             for row in zip(*[b.column(i).to_pylist() for i in range(7)], strict=True):
@@ -222,7 +222,7 @@ def _flags(travel: DataFrame, window: int) -> DataFrame:
 
     narrow = travel.select("key", "pk", "packed", "k1", "k2", "start", "n")
     dealt = narrow.repartition(spread(travel.sparkSession), "key").sortWithinPartitions("key", "pk")
-    return dealt.mapInArrow(run, "k1 long, k2 int, start int, flags long")
+    return dealt.mapInArrow(run, "k1 long, k2 long, start int, flags long")
 
 
 def _cut(n: int, start: np.ndarray, flags: np.ndarray, window: int) -> np.ndarray:
