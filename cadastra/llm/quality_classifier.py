@@ -177,7 +177,7 @@ def _surest(pool: DataFrame, per_round: int, at_least: float) -> Sure:
                         yield pd.DataFrame({"me": me, "label": label, "sure": s[pick], **{c: f[c].to_numpy()[pick] for c in ("row", "tf", "mf")}})
 
         free = pool.join(F.broadcast(spark.createDataFrame([(x,) for x in taken], "row long")), "row", "left_anti") if taken else pool
-        found = free.mapInPandas(run, "me int, label double, sure double, row long, tf array<double>, mf array<double>")
+        found = free.mapInPandas(run, "me int, label double, sure double, row long, tf array<float>, mf array<float>")
         place = F.row_number().over(Window.partitionBy("me", "label").orderBy(F.col("sure").desc(), "row"))
         best = found.dropDuplicates(["me", "label", "row"]).withColumn("place", place).where(F.col("place") <= per_round).collect()
         best = sorted(best, key=lambda r: (r["me"], r["label"], r["place"]))
@@ -200,7 +200,7 @@ COLUMNS = {"id": "doc_id", "text": "text", "lang": "lang", "source": "source", "
 def _features(docs: DataFrame) -> DataFrame:
     """docs(..., t, lang, source, n_chars) -> the other columns, tf and mf."""
     kept = [c for c in docs.columns if c not in ("t", "lang", "source", "n_chars")]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name in kept] + ["tf array<double>", "mf array<double>"])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name in kept] + ["tf array<float>", "mf array<float>"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -233,9 +233,9 @@ def fit(
     part = np.array([xxhash.xxh32_intdigest(str(i), seed) % 6 for i in rows["id"]])
     if len(set(y)) < 2:
         return co_train(tf, mf, y, part)
-    others = own.join(known.select("id"), "id", "left_anti")
+    # Features before the join: no text is shuffled.
     number = F.xxhash64("id", "t", "lang", "source", "n_chars")
-    pool = staged(_features(others.withColumn("row", number).drop("id")), "pool")
+    pool = staged(_features(own.withColumn("row", number)).join(known.select("id"), "id", "left_anti").drop("id"), "pool")
     model = co_train(tf, mf, y, part, _surest(pool, per_round, sure), rounds)
     discard(pool)
     return model
