@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from cadastra.llm.common import discard, staged
 
-MAX_ROUNDS = 60
-
 
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -35,6 +33,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges(u, v), any order and repeated; returns (node, root) with root the smallest node of the component.
 
+    Rounds go on until one changes nothing; their number grows with the logarithm of the longest path.
     Nodes without an edge to another node do not appear. Self-loops and nulls are ignored. An empty input gives an
     empty result.
     """
@@ -45,16 +44,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         "edges",
     )
     mark = _mark(now)
-    for _ in range(MAX_ROUNDS):
-        if not mark[0]:
-            break
+    while mark[0]:
         new = staged(_small_star(_large_star(now).distinct()).distinct(), "edges")
         discard(now)
         now, before, mark = new, mark, _mark(new)
         if mark == before:
             break
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

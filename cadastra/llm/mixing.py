@@ -50,8 +50,12 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = 1.
     return leveled.select("source", "source_size", target.otherwise(F.least("cap", free)).alias("target"))
 
 
-def fit_counts(size: np.ndarray, count: np.ndarray, budget: int, seed: int) -> np.ndarray:
-    """How many documents of each size to take so that sizes times counts come as near budget as can be."""
+def fit_counts(size: np.ndarray, count: np.ndarray, budget: int, seed: int, dp_budget: int = DP_BUDGET) -> np.ndarray:
+    """How many documents of each size to take so that sizes times counts come as near budget as can be.
+
+    What is left after counts in proportion goes to the dynamic program; over dp_budget of it, whole documents in seeded
+    order come first, down to an amount that the program then fits.
+    """
     total = int((size * count).sum())
     if budget <= 0 or total <= 0:
         return np.zeros(len(size), np.int64)
@@ -62,7 +66,7 @@ def fit_counts(size: np.ndarray, count: np.ndarray, budget: int, seed: int) -> n
     order = np.random.default_rng(seed).permutation(np.flatnonzero(size > 0))
     spare = count - take
     usable = size[(size > 0) & (spare > 0)]
-    limit = max(DP_BUDGET, 2 * int(usable.min())) if len(usable) else 0
+    limit = max(dp_budget, 2 * int(usable.min())) if len(usable) else 0
     for i in order:
         if left <= limit:
             break
@@ -97,31 +101,32 @@ def _knapsack(size: np.ndarray, spare: np.ndarray, budget: int, order: np.ndarra
     return extra
 
 
-def _fit(pdf: pd.DataFrame, seed: int) -> pd.DataFrame:
+def _fit(pdf: pd.DataFrame, seed: int, dp_budget: int) -> pd.DataFrame:
     total, target = int(pdf.source_size.iloc[0]), float(pdf.target.iloc[0])
     passes = int(target // total) if total else 0
     rest = int(round(target - passes * total))
-    k = fit_counts(pdf["size"].to_numpy(np.int64), pdf["count"].to_numpy(np.int64), rest, seed)
+    k = fit_counts(pdf["size"].to_numpy(np.int64), pdf["count"].to_numpy(np.int64), rest, seed, dp_budget)
     return pd.DataFrame({"source": pdf.source, "size": pdf["size"], "passes": passes, "chosen": k, "source_size": total, "target": target})
 
 
 def mix_sources(
     docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-    weights: tuple = WEIGHTS, share: float = 1.5, repeats: float = 2.0, seed: int = 7,
+    weights: tuple = WEIGHTS, share: float = 1.5, repeats: float = 2.0, seed: int = 7, dp_budget: int = DP_BUDGET, slices_of: int = SLICES,
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, times, taken, tie): times is how often the mix takes the document.
 
     One row per input row. A null source is a source of its own, a null size counts as 0, and documents of size 0 are
     taken as often as their source's whole passes say. Equal rows share a seeded hash, so which of them is chosen makes
     no difference and reruns agree. An empty table gives an empty result; other columns are ignored. ``tie`` is a hash
-    of the text that tells rows of one doc_id apart.
+    of the text that tells rows of one doc_id apart. Ranks within a length come from ``slices_of`` hash slices; targets are
+    one row a source and are worked out in one task.
     """
     narrow = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.coalesce(size, F.lit(0)).cast("long").alias("size"), F.xxhash64(F.col(text_col)).alias("tie"),
     )
     rows = staged(narrow.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "tie")), "mix-rows")
-    rows = rows.withColumn("slice", F.pmod("h", F.lit(SLICES)))
+    rows = rows.withColumn("slice", F.pmod("h", F.lit(slices_of)))
     slices = rows.groupBy("source", "size", "slice").agg(F.count(F.lit(1)).alias("n"))
     lengths = staged(slices.groupBy("source", "size").agg(F.sum("n").alias("count")), "mix-lengths")
     targets = source_targets(
@@ -131,7 +136,7 @@ def mix_sources(
         join_null_safe(lengths, targets, ["source"])
         .groupBy("source")
         .applyInPandas(
-            lambda pdf: _fit(pdf.sort_values("size", ignore_index=True), seed),
+            lambda pdf: _fit(pdf.sort_values("size", ignore_index=True), seed, dp_budget),
             "source string, size long, passes long, chosen long, source_size long, target double",
         )
     )
@@ -147,7 +152,11 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, size: Column, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
-    """The documents of the mix with the columns of docs, each as often as the mix takes it."""
+    """The documents of the mix with the columns of docs, each as often as the mix takes it.
+
+    Rows equal in id and text share what they are taken in all; null ids, texts and sources are values like others. An
+    empty table gives an empty result.
+    """
     mix = mix_sources(docs, size, id_col, text_col=text_col, **kwargs)
     per_row = mix.groupBy("doc_id", "tie").agg(F.sum("times").alias("__times"), F.count(F.lit(1)).alias("__rows"))
     per_row = per_row.withColumnsRenamed({"doc_id": "__id", "tie": "__tie"})
