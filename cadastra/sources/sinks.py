@@ -34,12 +34,17 @@ def value_tuples(df: DataFrame) -> Column:
     return F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))
 
 
-def insert_statements(df: DataFrame, table: str, order: str, lanes: int = 64, verb: str = "INSERT") -> DataFrame:
+#: Rows that one task batches at a time.
+LANE_ROWS = 50_000
+
+
+def insert_statements(df: DataFrame, table: str, order: str, lanes: int | None = None, verb: str = "INSERT") -> DataFrame:
     """(lane, statement_no, statement): multi-row inserts of at most MAX_ROWS rows and MAX_BYTES bytes each.
 
     A batch starts anew where a row does not fit, which is sequential; rows are dealt over lanes first, so batching runs
-    in parallel and no lane needs the others.
+    in parallel and no lane needs the others. Without a number of lanes, one holds about LANE_ROWS rows at any size.
     """
+    lanes = max(1, -(-df.count() // LANE_ROWS)) if lanes is None else lanes
     head = f"{verb} INTO {table} ({','.join(df.columns)}) VALUES "
     rows = df.select(F.pmod(F.xxhash64(order), F.lit(lanes)).alias("lane"), F.col(order).alias("__k"), value_tuples(df).alias("v"))
 

@@ -27,17 +27,43 @@ def merge_batch(state: DataFrame, batch: DataFrame, key: str, stamp: str = "upda
     return both.groupBy(key).agg(pick.alias("r")).select(*[f"r.{c}" for c in state.columns])
 
 
+def _folder(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def whole_versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Numbers of the state's versions that were written to their end, in order."""
+    at, fs = _folder(spark, state_path)
+    if not fs.exists(at):
+        return []
+    names = [x.getPath() for x in fs.listStatus(at)]
+    done = [x for x in names if x.getName().startswith("v=") and fs.exists(_folder(spark, f"{x}/_SUCCESS")[0])]
+    return sorted(int(x.getName()[2:]) for x in done)
+
+
+def current_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """The table of edits as of the last batch that was written to its end."""
+    return spark.read.parquet(f"{state_path}/v={whole_versions(spark, state_path)[-1]}")
+
+
 def run_upserts(edits: DataFrame, state_path: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Keep a versioned table of edits up to date: each batch writes version n + 1 whole, then the pointer moves.
+    """Keep a versioned table of edits up to date: each batch writes version n + 1 whole, and readers take the last one that
+    was written to its end (``current_state``).
 
-    A batch that fails leaves its version unread; its rerun writes the same version again.
+    A batch that fails leaves its version unread; its rerun reads the version before and writes the same one again. Versions
+    before that are deleted. The table holds reviewers' edits, one row a key: it is small next to what they edit.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = f"{state_path}/v={number - 1}"
-        state = batch.limit(0) if number == 0 else spark.read.schema(batch.schema).parquet(old)
+        before = [v for v in whole_versions(spark, state_path) if v < number]
+        state = spark.read.schema(batch.schema).parquet(f"{state_path}/v={before[-1]}") if before else batch.limit(0)
         merge_batch(state, batch, key).write.mode("overwrite").parquet(f"{state_path}/v={number}")
+        for old in before[:-1]:
+            at, fs = _folder(spark, f"{state_path}/v={old}")
+            fs.delete(at, True)
 
     return edits.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from cadastra.sources import readers, sinks
-from cadastra.streaming.edits import edit_stream, event_windows, merge_batch, run_upserts
+from cadastra.streaming.edits import current_state, edit_stream, event_windows, merge_batch, run_upserts, whole_versions
 
 
 def test_register(spark, tmp_path):
@@ -97,12 +97,17 @@ def test_edit_stream(spark, tmp_path):
     (src / "a.json").write_text("\n".join([row("e1", 1, 0, 1), row("e2", 2, 0, 2), row("e1", 1, 0, 1), row("e3", 1, 1, 3)]))
     q = run_upserts(edit_stream(spark, str(src), schema), str(tmp_path / "state"), str(tmp_path / "cp"), "segment_id")
     q.awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "state" / "v=0"))
+    got = current_state(spark, str(tmp_path / "state"))
     assert sorted((r.segment_id, r.reviewed) for r in got.collect()) == [(1, 1), (2, 0)]
     late = spark.createDataFrame([("e9", 1, 0, datetime.datetime(2023, 1, 1)), ("e8", 3, 1, datetime.datetime(2024, 2, 1))], schema)
     merged = merge_batch(got, late, "segment_id")
     assert sorted((r.segment_id, r.reviewed) for r in merged.collect()) == [(1, 1), (2, 0), (3, 1)]
     assert sorted(map(str, merge_batch(merged, late, "segment_id").collect())) == sorted(map(str, merged.collect()))
+    for n in (1, 2):
+        (src / f"b{n}.json").write_text(row(f"n{n}", 10 + n, 0, 10 + n))
+        run_upserts(edit_stream(spark, str(src), schema), str(tmp_path / "state"), str(tmp_path / "cp"), "segment_id").awaitTermination(120)
+    assert whole_versions(spark, str(tmp_path / "state")) [-1] >= 2 and len(whole_versions(spark, str(tmp_path / "state"))) == 2
+    assert sorted(r.segment_id for r in current_state(spark, str(tmp_path / "state")).collect()) == [1, 2, 11, 12]
 
 
 def test_event_windows_stream_equals_batch(spark):
