@@ -50,6 +50,8 @@ class WordTokens:
     #: Characters from here on are left to the tokenizer; so are those that do not print, and one that grows in lower case.
     FOREIGN, GROWS = 0x180, 0x130
     SPACE, LETTER, DIGIT, SIGN, QUOTE, ODD = range(6)
+    #: Distinct words that are cut and merged at once; the arrays of their characters are what takes memory.
+    WORDS = 1 << 14
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -142,8 +144,13 @@ class WordTokens:
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
         words = split.flatten().dictionary_encode()
-        values, place = self._of_words(words.dictionary.to_pylist())
-        taken = values.take(pa.array(place[words.indices.to_numpy()]))
+        known, runs, places = words.dictionary, [], []
+        for at in range(0, max(1, len(known)), self.WORDS):
+            values, place = self._of_words(known.slice(at, self.WORDS).to_pylist())
+            runs.append(values)
+            places.append(place + at)
+        place = np.concatenate(places)
+        taken = pa.concat_arrays(runs).take(pa.array(place[words.indices.to_numpy()]))
         ends = np.frombuffer(taken.buffers()[1], np.int32)[split.offsets.to_numpy()].tolist()
         data = memoryview(taken.buffers()[2] or b"")
         return [bytes(data[a:b]) for a, b in zip(ends, ends[1:], strict=False)]

@@ -1,5 +1,6 @@
 import json
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -54,6 +55,27 @@ def test_no_words():
     assert WordTokens(word_bpe())(["", " ", "\n\n"]) == [b""] * 3 and WordTokens(word_bpe())(["中", "'"])[1]
 
 
+def test_memory_does_not_follow_the_distinct_words():
+    """Words are looked up a part at a time: about 14 bytes a character of distinct words, 73 when all were cut at once."""
+    t, text = WordTokens(word_bpe()), " ".join(f"Word{i}x" for i in range(120_000))
+    tracemalloc.start()
+    try:
+        got = t([text])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40 * len(text)
+    assert np.frombuffer(got[0], "<u4").tolist() == ids_of(text)[:-1]
+
+
+@pytest.mark.parametrize("part", [1, 7])
+def test_parts_of_the_words_give_the_same_ids(part):
+    t = WordTokens(word_bpe())
+    whole = t(TEXTS)
+    t.WORDS = part
+    assert t(TEXTS) == whole and t(["", " "]) == [b""] * 2 and t([]) == []
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_best_fit(seed):
     r = np.random.default_rng(seed)
