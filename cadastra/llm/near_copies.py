@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastra.llm.common import discard, join_null_safe, spread, staged, text_bytes
+from cadastra.llm.common import discard, spread, staged, text_bytes
 from cadastra.llm.components import connected_components
 from cadastra.llm.simhash import SEED, _fingerprint, _signed, links, shingle_hashes
 
@@ -178,6 +178,10 @@ def keep_one_copy(
     gives an empty result.
     """
     sets = _sets(docs, id_col, text_col, shingle)
-    stay = _labelled(sets, similarity, distance).select(F.col("component_id").alias("__id"), F.col("component_tie").alias("__tie")).distinct()
-    own = docs.withColumns({"__id": F.col(id_col).cast("long"), "__tie": _tie(text_col)})
-    return join_null_safe(own, stay, ["__id", "__tie"], "left_semi").dropDuplicates(["__id", "__tie"]).select(*docs.columns)
+    labels = _labelled(sets, similarity, distance)
+    discard(sets)
+    # no nulls among the keys: then rows are dealt once, for the duplicates and for the join
+    key = lambda i, tie: {"__id": F.coalesce(i, F.lit(0)), "__none": i.isNull(), "__tie": tie}
+    stay = labels.select(*[c.alias(n) for n, c in key(F.col("component_id"), F.col("component_tie")).items()]).distinct()
+    own = docs.withColumns(key(F.col(id_col).cast("long"), _tie(text_col)))
+    return own.dropDuplicates(stay.columns).join(stay, stay.columns, "left_semi").select(*docs.columns)

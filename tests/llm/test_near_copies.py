@@ -1,10 +1,12 @@
+import os
 import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cadastra.llm.near_copies import near_copy_groups, similar_groups
+from cadastra.llm import near_copies
+from cadastra.llm.near_copies import keep_one_copy, near_copy_groups, similar_groups
 
 
 def plain_sets(texts):
@@ -97,3 +99,29 @@ def test_groups_of_many_sets():
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert near_copy_groups(none).count() == 0
+
+
+def test_texts_are_dealt_once_and_sets_deleted(spark, monkeypatch):
+    """Disk: the sets are larger than the texts and not read any more; joins and duplicates go by the same keys."""
+    written, stage = {}, near_copies.staged
+    monkeypatch.setattr(near_copies, "staged", lambda df, name: written.setdefault(name, stage(df, name)))
+    rows = [*corpus(3), (3, "another one"), (None, "a second null id"), (0, "zero is an id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_one_copy(docs)
+        plan = kept._jdf.queryExecution().executedPlan().initialPlan()
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not os.path.exists(written["near-sets"]._staged_path.removeprefix("file://"))
+
+    moves = 0
+    while plan.children().size():  # the texts come from the left
+        moves += plan.nodeName() == "Exchange"
+        plan = plan.children().apply(0)
+    assert moves == 1
+    least = {c for _, c in plain_components(rows)}
+    assert {(None, "a second null id"), (None, "null id"), (0, "zero is an id"), (0, "")} <= set(got) and len(got) == len(set(got))
+    assert {i for i, _ in got} == least
