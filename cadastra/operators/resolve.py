@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastra.functions.similarity import weighted_ratio_udf
-from cadastra.functions.text import digit_guard, genitive_variants, normalize_street, one_edit, sort_key
+from cadastra.functions.text import digit_guard, edit_keys, genitive_variants, normalize_street, one_edit, sort_key
 from cadastra.scratch import written
 
 FUZZY_SETTLEMENT, FUZZY_MUNICIPALITY, FUZZY_PLACE = 90.0, 93.0, 90.0
@@ -310,6 +310,16 @@ def resolve(segments: DataFrame, streets: DataFrame, settlements: DataFrame, fuz
     return asked.join(other, same).select("seg_id", "ask").join(found, "ask").select("seg_id", "street_id", "method", "score", "extra")
 
 
+def one_edit_pairs(left: DataFrame, right: DataFrame, scope: str) -> DataFrame:
+    """left(scope, x), right(scope, y) -> the distinct (scope, x, y) that are one edit apart at most.
+
+    Names meet under the keys they have in common, each distinct name once, so a scope is never crossed with itself.
+    """
+    keyed = lambda df, name: df.select(scope, name).distinct().withColumn("__key", F.explode(edit_keys(F.col(name))))
+    met = keyed(left, "x").join(keyed(right, "y"), [scope, "__key"]).select(scope, "x", "y").distinct()
+    return met.where(one_edit(F.col("x"), F.col("y")))
+
+
 # ---- settlements ----
 
 
@@ -320,11 +330,13 @@ def resolve_settlement(names: DataFrame, settlements: DataFrame) -> DataFrame:
     met = names.where("name <> ''").join(pool, "muni_id")
     a, b = F.col("name"), F.col("settlement_norm")
     scored = met.where((a != b) & can_reach(a, b, FUZZY_PLACE)).withColumn("s", weighted_ratio_udf("name", "settlement_norm")).where(F.col("s") >= FUZZY_PLACE)
+    edits = one_edit_pairs(names.select("muni_id", F.col("name").alias("x")).where("length(x) >= 6"), pool.select("muni_id", b.alias("y")), "muni_id")
+    near = names.withColumnRenamed("name", "x").join(edits, ["muni_id", "x"]).join(pool.withColumnRenamed("settlement_norm", "y"), ["muni_id", "y"])
     one = lambda df, rung: df.groupBy("seg_id").agg(F.count_distinct("settlement_id").alias("n"), F.min("settlement_id").alias("settlement_id")).where("n = 1").select("seg_id", "settlement_id", F.lit(rung).alias("rung"))
     rungs = [
         met.where(a == b).groupBy("seg_id").agg(F.min("settlement_id").alias("settlement_id"), F.lit(0).alias("rung")),
         scored.groupBy("seg_id").agg(F.min_by("settlement_id", F.struct(-F.col("s"), "settlement_id")).alias("settlement_id"), F.lit(1).alias("rung")),
-        one(met.where((F.length(a) >= 6) & one_edit(a, b)), 2),
+        one(near, 2),
         one(met.where(F.size(F.array_except(_words(a), _words(b))) == 0), 3),
     ]
     best = _all(rungs).groupBy("seg_id").agg(F.min_by("settlement_id", "rung").alias("settlement_id"), F.min("rung").alias("rung"))

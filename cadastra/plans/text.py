@@ -46,7 +46,8 @@ def q29_ordinals(spark, d):
 def q30_one_edit(spark, d):
     s = _read(spark, d, "supplier").select(F.col("s_suppkey").alias("a"), F.col("s_name").alias("x"), (F.col("s_nationkey") % 3).alias("scope"))
     t = s.withColumnsRenamed({"a": "b", "x": "y"})
-    return s.join(t, "scope").where((F.col("a") < F.col("b")) & text.one_edit(F.col("x"), F.col("y"))).select("a", "b")
+    near = ladder.one_edit_pairs(s, t, "scope")
+    return s.join(near, ["scope", "x"]).join(t, ["scope", "y"]).where("a < b").select("a", "b")
 
 
 def q31_token_subset(spark, d):
