@@ -320,6 +320,19 @@ def one_edit_pairs(left: DataFrame, right: DataFrame, scope: str) -> DataFrame:
     return met.where(one_edit(F.col("x"), F.col("y")))
 
 
+def superset_counts(sets: DataFrame, scope: str) -> DataFrame:
+    """sets(scope, w array of distinct words, c), each set once -> (scope, w, total): c summed over the sets of the scope
+    that hold all words of w, its own included.
+
+    A set looks among those that hold its rarest word.
+    """
+    words = sets.select(scope, "w", "c", F.explode("w").alias("word"))
+    often = words.groupBy(scope, "word").agg(F.count(F.lit(1)).alias("often"))
+    rarest = words.join(often, [scope, "word"]).groupBy(scope, "w").agg(F.min_by("word", F.struct("often", "word")).alias("word"))
+    met = rarest.join(words.select(scope, "word", F.col("w").alias("v"), "c"), [scope, "word"]).where(F.size(F.array_except("w", "v")) == 0)
+    return met.groupBy(scope, "w").agg(F.sum("c").alias("total"))
+
+
 # ---- settlements ----
 
 

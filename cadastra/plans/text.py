@@ -57,10 +57,13 @@ def q30_one_edit(spark, d):
 
 def q31_token_subset(spark, d):
     """Parts whose name's words all occur in the name of another part of the brand."""
-    p = _read(spark, d, "part").select("p_partkey", "p_brand", "p_size", F.split("p_name", " ").alias("w"))
-    q = p.withColumnsRenamed({"p_partkey": "other", "w": "v"})
-    met = p.join(q, ["p_brand"]).where((F.col("p_partkey") != F.col("other")) & (F.size(F.array_except("w", "v")) == 0))
-    return met.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"))
+    p = _read(spark, d, "part").dropna(subset=["p_partkey", "p_brand", "p_name"])
+    rows = p.groupBy("p_partkey", "p_brand", F.array_sort(F.array_distinct(F.split("p_name", " "))).alias("w")).agg(F.count(F.lit(1)).alias("c"))
+    total = ladder.superset_counts(rows.groupBy("p_brand", "w").agg(F.sum("c").alias("c")), "p_brand")
+    same = F.collect_list(F.struct("w", "c")).over(Window.partitionBy("p_partkey", "p_brand"))
+    own = F.aggregate("same", F.lit(0).cast("long"), lambda s, o: s + F.when(F.size(F.array_except("w", o["w"])) == 0, o["c"]).otherwise(0))
+    met = rows.withColumn("same", same).withColumn("own", own).drop("same").join(total, ["p_brand", "w"])
+    return met.groupBy("p_partkey").agg(F.sum(F.col("c") * (F.col("total") - F.col("own"))).alias("n")).where("n > 0")
 
 
 def q32_prefix_cluster(spark, d):

@@ -57,3 +57,23 @@ def near(a, b):
     swap = {a[:i] + a[i + 1] + a[i] + a[i + 2 :] for i in range(len(a) - 1)}
     put = len(a) == len(b) and sum(x != y for x, y in zip(a, b, strict=True)) <= 1
     return put or b in swap or a in cut(b) or b in cut(a)
+
+
+def test_digit_guard_counts_without_pairs(spark, copies):
+    assert max(n for _, n in joins(agree(spark, copies, "q27_digit_guard"))) <= 3000
+
+
+def test_token_subset_meets_by_words(spark, copies):
+    assert min(k for k, _ in joins(agree(spark, copies, "q31_token_subset"))) >= 2
+
+
+def test_token_subset_of_odd_rows(spark, tmp_path):
+    rows = [(1, "A", "x y"), (2, "A", "y x z"), (2, "A", "x"), (3, "A", "x x"), (4, "A", ""), (5, "B", "x"), (None, "A", "x"), (6, None, "x"), (7, "A", None), (8, "A", "x y")]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.p_partkey: r.n for r in QUERIES["q31_token_subset"](spark, str(tmp_path)).collect()}
+    kept = [(k, b, set(n.split(" "))) for k, b, n in rows if None not in (k, b, n)]
+    want = {}
+    for k, b, w in kept:
+        if n := sum(b == c and k != j and w <= v for j, c, v in kept):
+            want[k] = want.get(k, 0) + n
+    assert got == want
