@@ -77,3 +77,33 @@ def test_token_subset_of_odd_rows(spark, tmp_path):
         if n := sum(b == c and k != j and w <= v for j, c, v in kept):
             want[k] = want.get(k, 0) + n
     assert got == want
+
+
+def dealt(df):
+    """Rows that a query has written to shuffles, counted after it has run."""
+    df.collect()
+    return sum(p.metrics().apply("shuffleRecordsWritten").value() for kind, p in nodes(df._jdf.queryExecution().executedPlan()) if kind == "ShuffleExchangeExec")
+
+
+@pytest.fixture(scope="module")
+def dense(spark, tmp_path_factory):
+    """300 points on a few hundred metres: nearly all boxes overlap."""
+    d = str(tmp_path_factory.mktemp("dense"))
+    rows = [(i, [(i * 7919 % 301) / 10000, (i * 104729 % 307) / 10000], i % 3) for i in range(300)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{d}/embeddings.parquet")
+    return d
+
+
+def spatial_agrees(spark, d, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{d}/embeddings.parquet/*.parquet'")
+    df = QUERIES[name](spark, d)
+    cols = ", ".join(f'"{c}"' for c in df.columns)
+    plain = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+    want = sorted(map(repr, map(plain, con.execute(f"SELECT {cols} FROM ({ORACLE_SQL[name]})").fetchall())))
+    assert sorted(repr(plain(r)) for r in df.collect()) == want and want
+    return df
+
+
+def test_box_pairs_are_not_shuffled(spark, dense):
+    assert dealt(spatial_agrees(spark, dense, "q47_box_iou")) <= 20 * 300
