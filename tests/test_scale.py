@@ -1,9 +1,10 @@
 """Steps that must grow with their input: what joins and groups make, on tables that repeat their names."""
 
 import duckdb
+import numpy as np
 import pytest
 
-from cadastra.operators import resolve
+from cadastra.operators import polygons, resolve
 from cadastra.plans.registry import ORACLE_SQL, QUERIES
 
 D = "/root/testdata/sf0.001"
@@ -107,3 +108,22 @@ def spatial_agrees(spark, d, name):
 
 def test_box_pairs_are_not_shuffled(spark, dense):
     assert dealt(spatial_agrees(spark, dense, "q47_box_iou")) <= 20 * 300
+
+
+def test_rings_go_with_their_boxes(spark, dense):
+    assert dealt(spatial_agrees(spark, dense, "q74_overlap_measures")) <= 20 * 300
+
+
+def test_many_pairs_are_clipped_as_one(spark):
+    rng = np.random.default_rng(3)
+    turn = lambda n: np.sort(rng.random(n)) * 2 * np.pi
+    shape = lambda n: (rng.random(2) * 2 + np.column_stack([np.cos(t := turn(n)), np.sin(t)]))[:: rng.choice([-1, 1])]
+    pairs = [(shape(rng.integers(3, 9)), shape(rng.integers(3, 7))) for _ in range(300)] + [(shape(4), shape(4) + 9)]
+    as_rows = lambda r: [{"x": float(x), "y": float(y)} for x, y in r]
+    df = spark.createDataFrame([(i, as_rows(a), as_rows(b)) for i, (a, b) in enumerate(pairs)], f"i int, ring {polygons.RING}, ring2 {polygons.RING}")
+    got = {r.i: r for r in polygons.overlap_measures(df).collect()}
+    for i, (a, b) in enumerate(pairs):
+        one, two = abs(polygons.signed_area(a)), abs(polygons.signed_area(b))
+        both = abs(polygons.signed_area(polygons.clip_convex(a, b)))
+        want = (both, both / (one + two - both), both / one, both / two, one / two, float(np.hypot(*(polygons.centre(a) - polygons.centre(b)))))
+        assert np.allclose([got[i][c] for c in ("overlap", "iou", "cover", "cover2", "ratio", "apart")], want)
