@@ -27,20 +27,21 @@ def q16_centroid_anchor(spark, d):
     )
 
 
-def _within(spark, d) -> DataFrame:
-    """Every point with every other point within 300 m."""
+def _anchors(spark, d) -> tuple[DataFrame, DataFrame]:
+    """All points as anchors that look 300 m far, and as points."""
     p = points(spark, d).withColumn("scope", F.lit(0))
     anchors = p.select("scope", F.col("vec_id").alias("anchor_id"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.lit(300.0).alias("radius"))
     others = p.select("scope", F.col("vec_id").alias("point_id"), F.col("x").alias("px"), F.col("y").alias("py"))
-    return ops.radius_join(anchors, others, 300.0).where("anchor_id <> point_id")
+    return anchors, others
 
 
 def q17_nearest_or_abstain(spark, d):
-    return ops.nearest_or_abstain(_within(spark, d), 25.0).select("anchor_id", "point_id", F.round("dist", 3).alias("dist"))
+    return ops.nearest_two(*_anchors(spark, d), 300.0, 25.0).select("anchor_id", "point_id", F.round("dist", 3).alias("dist"))
 
 
 def q18_radius_join(spark, d):
-    return _within(spark, d).groupBy("anchor_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("dist"), 3).alias("far"))
+    within = ops.radius_join(*_anchors(spark, d), 300.0).where("anchor_id <> point_id")
+    return within.groupBy("anchor_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("dist"), 3).alias("far"))
 
 
 def q44_utm_roundtrip(spark, d):

@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from cadastra.operators import polygons, resolve
+from cadastra.operators import polygons, resolve, spatial
 from cadastra.plans.registry import ORACLE_SQL, QUERIES
 
 D = "/root/testdata/sf0.001"
@@ -127,3 +127,31 @@ def test_many_pairs_are_clipped_as_one(spark):
         both = abs(polygons.signed_area(polygons.clip_convex(a, b)))
         want = (both, both / (one + two - both), both / one, both / two, one / two, float(np.hypot(*(polygons.centre(a) - polygons.centre(b)))))
         assert np.allclose([got[i][c] for c in ("overlap", "iou", "cover", "cover2", "ratio", "apart")], want)
+
+
+def test_nearest_two_do_not_make_pairs(spark, dense):
+    df = spatial_agrees(spark, dense, "q17_nearest_or_abstain")
+    assert not joins(df) and dealt(df) <= 10 * 300
+
+
+def test_nearest_two_like_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i % 2, i, float(x), float(y), float(r)) for i, ((x, y), r) in enumerate(zip(np.round(rng.normal(0, 300, (400, 2)), -1), rng.integers(20, 200, 400), strict=True))] + [(0, 900, 9e5, 0.0, 200.0)]
+    a = spark.createDataFrame(rows, "scope int, anchor_id long, ax double, ay double, radius double")
+    p = a.selectExpr("scope", "anchor_id AS point_id", "ax AS px", "ay AS py")
+    want = spatial.nearest_or_abstain(spatial.radius_join(a, p, 200.0).where("anchor_id <> point_id"), 10.0)
+    assert sorted(spatial.nearest_two(a, p, 200.0, 10.0).collect()) == sorted(want.collect()) != []
+
+
+def test_voronoi_cells_look_near_them(spark):
+    rng = np.random.default_rng(7)
+    places = np.vstack([rng.normal(0, 60, (250, 2)), rng.normal(0, 900, (60, 2)), [[9e5, 0.0]]])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(places)], "site_id long, x double, y double")
+    found = spatial.voronoi_cells(df)
+    got = {r.site_id: r for r in found.collect()}
+    assert not joins(found) and len(got) == len(places)
+    for i, site in enumerate(places):
+        ring = spatial._octagon(site, spatial.CELL_RADIUS)
+        for o in np.delete(places, i, axis=0):
+            ring = spatial.clip_half_plane(ring, (site + o) / 2, o - site)
+        assert len(got[i].ring) == len(ring) and np.isclose(got[i].area, abs(polygons.signed_area(ring)))
