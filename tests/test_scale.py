@@ -155,3 +155,17 @@ def test_voronoi_cells_look_near_them(spark):
         for o in np.delete(places, i, axis=0):
             ring = spatial.clip_half_plane(ring, (site + o) / 2, o - site)
         assert len(got[i].ring) == len(ring) and np.isclose(got[i].area, abs(polygons.signed_area(ring)))
+
+
+def test_points_are_counted_within_cells(spark, dense):
+    df = spatial_agrees(spark, dense, "q45_points_in_polygons")
+    assert not joins(df) and dealt(df) <= 20 * 300
+
+
+def test_points_per_polygon_like_pairs(spark):
+    rng = np.random.default_rng(9)
+    rings = [[{"x": float(x), "y": float(y)} for x, y in np.round(rng.random((rng.integers(3, 9), 2)) * 60 + rng.random(2) * 200 - 100)] for _ in range(120)]
+    polys = spark.createDataFrame([*enumerate(rings), (500, [])], f"polygon_id int, ring {polygons.RING}")
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(np.round(rng.random((800, 2)) * 300 - 150))] + [(900, None, 0.0)], "point_id long, px double, py double")
+    want = spatial.points_in_polygons(points, polys, 25.0).groupBy("polygon_id").agg({"*": "count", "point_id": "sum"})
+    assert sorted(map(tuple, spatial.points_per_polygon(points, polys, 25.0).collect())) == sorted((r[0], r["count(1)"], r["sum(point_id)"]) for r in want.collect()) != []
