@@ -87,8 +87,8 @@ def q48_voronoi_area(spark, d):
 
 def q49_greedy_matching(spark, d):
     """Greedy matching of overlapping boxes of one label."""
-    pairs = _overlaps(_boxes(points(spark, d)).drop("ring")).where("label = label_2").select(F.col("label").cast("long").alias("scope"), F.col("polygon_id").alias("left"), F.col("polygon_id_2").alias("right"), "overlap")
-    return ops.greedy_matching(pairs).select("left", "right", F.round("overlap", 3).alias("overlap"))
+    found = ops.greedy_box_matching(_boxes(points(spark, d)).withColumnRenamed("label", "scope"), 1000.0)
+    return found.select("left", "right", F.round("overlap", 3).alias("overlap"))
 
 
 def q74_overlap_measures(spark, d):

@@ -169,3 +169,18 @@ def test_points_per_polygon_like_pairs(spark):
     points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(np.round(rng.random((800, 2)) * 300 - 150))] + [(900, None, 0.0)], "point_id long, px double, py double")
     want = spatial.points_in_polygons(points, polys, 25.0).groupBy("polygon_id").agg({"*": "count", "point_id": "sum"})
     assert sorted(map(tuple, spatial.points_per_polygon(points, polys, 25.0).collect())) == sorted((r[0], r["count(1)"], r["sum(point_id)"]) for r in want.collect()) != []
+
+
+def test_greedy_matching_in_rounds(spark):
+    rng = np.random.default_rng(11)
+    corner = np.round(rng.random((240, 2)) * 300 - 150)
+    boxes = spark.createDataFrame([(i % 2, i, x, x + w, y, y + w) for i, ((x, y), w) in enumerate(zip(corner.tolist(), rng.choice([40.0, 60.0], 240).tolist(), strict=True))], "scope int, polygon_id long, x0 double, x1 double, y0 double, y1 double")
+    pairs = spatial.box_pairs(boxes, 50.0, "scope").selectExpr("scope", "polygon_id AS left", "polygon_id_2 AS right", "overlap")
+    used, want = set(), []
+    for p in sorted(pairs.collect(), key=lambda p: (-p.overlap, p.left, p.right)):
+        if not used & {(p.scope, "l", p.left), (p.scope, "r", p.right)}:
+            used |= {(p.scope, "l", p.left), (p.scope, "r", p.right)}
+            want.append(tuple(p))
+    for found in (spatial.greedy_matching(pairs), spatial.greedy_box_matching(boxes, 50.0)):
+        assert sorted(map(tuple, found.collect())) == sorted(want) != []
+        assert "InPandas" not in found._jdf.queryExecution().toString()
