@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,18 +75,29 @@ def q60_restatement_drop(spark, d):
 def q61_greedy_batches(spark, d):
     """Stations in order fill batches of a budget; one that does not fit starts the next. Sequential per scope."""
     per = _read(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("links"))
-    c = _read(spark, d, "customer").join(per, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_nationkey", "c_custkey", F.coalesce("links", F.lit(0)).alias("links"))
-    rows = c.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "links"))).alias("xs"))
-    start = F.struct(F.lit(0).cast("long").alias("batch"), F.lit(0).cast("long").alias("used"), F.array().cast("array<struct<id:bigint,batch:bigint>>").alias("out"))
-
-    def step(a, x):
-        over = (a["used"] > 0) & (a["used"] + x["links"] > 40)
-        batch = (a["batch"] + over.cast("long")).alias("batch")
-        used = (F.when(over, F.lit(0).cast("long")).otherwise(a["used"]) + x["links"]).alias("used")
-        return F.struct(batch, used, F.concat(a["out"], F.array(F.struct(x["c_custkey"].alias("id"), batch))).alias("out"))
-
-    out = rows.select("c_nationkey", F.explode(F.aggregate("xs", start, step, lambda a: a["out"])).alias("x"))
-    return out.select("c_nationkey", F.col("x.id").alias("c_custkey"), F.col("x.batch").alias("batch"))
+    c = _read(spark, d, "customer").join(per, F.col("c_custkey") == F.col("o_custkey"), "left")
+    rows = c.groupBy("c_nationkey", "c_custkey").agg(F.sum(F.coalesce("links", F.lit(0))).alias("links"))
+    return greedy_batches(rows, "c_nationkey", "c_custkey", "links", 40)
+
+
+def greedy_batches(rows: DataFrame, scope: str, order: str, load: str, budget: int) -> DataFrame:
+    """(scope, order, batch): rows go by in order and only the batch being filled is kept, so a scope may have any size."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, batch, used = object(), 0, 0
+        for t in tables:
+            out = []
+            for s, n in zip(t.column(scope).to_pylist(), t.column(load).to_pylist(), strict=True):
+                if s != last:
+                    last, batch, used = s, 0, 0
+                elif used > 0 and used + n > budget:
+                    batch, used = batch + 1, 0
+                used += n
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([t.column(scope), t.column(order), pa.array(out, pa.int64())], [scope, order, "batch"])
+
+    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in (scope, order)]
+    return rows.select(scope, order, load).repartition(scope).sortWithinPartitions(scope, F.col(order).asc_nulls_last()).mapInArrow(run, f"{', '.join(kinds)}, batch long")
 
 
 def q62_chunk_markers(spark, d):

@@ -5,7 +5,9 @@ import numpy as np
 import pytest
 
 from cadastra.operators import polygons, resolve, spatial
+from cadastra.plans import windows
 from cadastra.plans.registry import ORACLE_SQL, QUERIES
+from cadastra.sources import readers
 
 D = "/root/testdata/sf0.001"
 
@@ -184,3 +186,29 @@ def test_greedy_matching_in_rounds(spark):
     for found in (spatial.greedy_matching(pairs), spatial.greedy_box_matching(boxes, 50.0)):
         assert sorted(map(tuple, found.collect())) == sorted(want) != []
         assert "InPandas" not in found._jdf.queryExecution().toString()
+
+
+def test_pages_are_read_in_many_tasks(spark):
+    df = spark.createDataFrame([(i, f"<table><tr><td>{i}<td>a<td>b<td>c</table>") for i in range(40)], "k int, html string").coalesce(1)
+    found = readers.html_rows(df, "k", "html")
+    assert found.rdd.getNumPartitions() > 1 and sorted(r.number for r in found.collect()) == list(range(40))
+
+
+def test_batches_go_by_in_order(spark, copies):
+    df = agree(spark, copies, "q61_greedy_batches")
+    assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString() and "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_batches_over_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = spark.createDataFrame([(s, i, i * 7 % 19) for s in (1, 2, 3) for i in range(50)], "s int, i long, n long")
+        got = {(r.s, r.i): r.batch for r in windows.greedy_batches(rows, "s", "i", "n", 20).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    batch = used = 0
+    for i in range(50):
+        if used > 0 and used + i * 7 % 19 > 20:
+            batch, used = batch + 1, 0
+        used += i * 7 % 19
+        assert got[1, i] == got[2, i] == got[3, i] == batch
