@@ -3,8 +3,10 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from cadastra.operators import polygons, resolve, spatial
+from cadastra.functions.house import suffix_rank
+from cadastra.operators import claims, polygons, resolve, spatial
 from cadastra.plans import windows
 from cadastra.plans.registry import ORACLE_SQL, QUERIES
 from cadastra.sources import readers
@@ -212,3 +214,26 @@ def test_batches_over_arrow_batches(spark):
             batch, used = batch + 1, 0
         used += i * 7 % 19
         assert got[1, i] == got[2, i] == got[3, i] == batch
+
+
+@pytest.mark.parametrize("name", ["q01_claim_arbitration", "q02_parity_unconfirmed", "q03_conflict_opponents", "q51_station_points"])
+def test_wide_claims_do_not_meet_every_house(spark, copies, name):
+    df = agree(spark, copies, name)
+    assert max(n for _, n in joins(df)) <= 3 * spark.read.parquet(f"{copies}/lineitem.parquet").count()
+
+
+def test_house_claims_like_matches(spark):
+    rng = np.random.default_rng(13)
+    pick = lambda *xs: xs[rng.integers(len(xs))]
+    rank = lambda c: suffix_rank(F.col(c))
+    rows = [(i, int(rng.integers(4)), pick(None, *range(1, 40)), pick("", "А", "Б")) for i in range(300)]
+    h = spark.createDataFrame(rows, "address_id long, street_id int, house_num int, suffix string").withColumn("rank", rank("suffix"))
+    kinds = [pick("whole", "sett_whole", "bez_broja", "single", "single", "interval", "interval") for _ in range(40)]
+    made = [(int(rng.integers(5)), i, i // 2, int(rng.integers(4)), k, lo := int(rng.integers(1, 30)), lo + 9, pick("all", "odd", "even"), pick("", "А"), "", lo, pick("", "А")) for i, k in enumerate(kinds)]
+    c = spark.createDataFrame(made, "street_id int, claim_no long, seg_id long, station_id long, kind string, lo int, hi int, parity string, lo_sfx string, hi_sfx string, num int, num_suffix string")
+    c = c.withColumns({"lo_rank": rank("lo_sfx"), "hi_rank": rank("hi_sfx")})
+    m = claims.claim_matches(h, c)
+    same = lambda a, b: sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect())) != []
+    assert same(claims.arbitrate_houses(h, c), claims.arbitrate(m)) and same(claims.house_conflicts(h, c), claims.conflicts(m))
+    sums = claims.station_points(h, c).groupBy("station_id").agg(F.count(F.lit(1)).alias("points"), F.sum("seg_id").alias("seg_sum"))
+    assert same(claims.station_sums(h, c), sums)
